@@ -4,12 +4,32 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once for each application."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    name = f"{tempfile.mkdtemp(prefix='gaugeworks-')}/gaugeworks.zip"
+    with zipfile.ZipFile(name, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    spark.sparkContext.addPyFile(name)
+    _shipped.add(app)
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of a data directory."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
