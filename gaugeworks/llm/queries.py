@@ -5,10 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import history, overlap
+from gaugeworks.llm import history, overlap, vectors
 from gaugeworks.session import load
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    field = F.col("state_field")
+    side = F.when(field == "mining_target_embeddings", True).when(field == "mining_source_embeddings", False)
+    top = vectors.most_similar(load(spark, sf_dir, "mining_embeddings"), "vec_id", side, "embedding")
+    return top.select(F.least("target", "source").alias("vec_a"), F.greatest("target", "source").alias("vec_b"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.repeated_rows(load(spark, sf_dir, "curation_rows")).select(F.col("id").alias("row_id"))
 
@@ -18,7 +25,7 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select(F.least("evaluation", "training").alias("record_a"), F.greatest("evaluation", "training").alias("record_b"))
 
 
-QUERIES = {"p3_found": p3_found, "p5_found": p5_found}
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p5_found": p5_found}
 ORACLE: dict[str, str] = {}
 
 
