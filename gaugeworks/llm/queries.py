@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import history, overlap, vectors
+from gaugeworks.llm import history, mixing, overlap, packing, vectors
 from gaugeworks.session import load
 
 
@@ -25,7 +25,24 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select(F.least("evaluation", "training").alias("record_a"), F.greatest("evaluation", "training").alias("record_b"))
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p5_found": p5_found}
+def p7_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(load(spark, sf_dir, "documents"))
+
+
+def p7_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.fill(p7_pack(spark, sf_dir))
+
+
+def p8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(load(spark, sf_dir, "documents"), load(spark, sf_dir, "source_targets"))
+
+
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    targets = load(spark, sf_dir, "source_targets")
+    return mixing.shares(mixing.mix(load(spark, sf_dir, "documents"), targets), targets)
+
+
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p5_found": p5_found, "p7_pack": p7_pack, "p7_fill": p7_fill, "p8_mix": p8_mix, "p8_shares": p8_shares}
 ORACLE: dict[str, str] = {}
 
 
