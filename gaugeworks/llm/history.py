@@ -104,10 +104,10 @@ class SegmentHistory:
             self.freq = simjoin.frequencies(batch, text_col, 1)
         rows = materialize(base_rows(batch, id_col, batch_col, path_col, text_col))
         keys = self._read("rows", "path long, set_id long")
-        old = self._read("segments", "key long, id long, size int, sketch long, side byte")
+        old = self._read("segments", simjoin.SEGMENTS)
         sets = self._read("sets", "id long, tokens array<long>")
         mine = materialize(simjoin.segments(batch, text_col, 1, self.t, self.freq))
-        met = materialize(simjoin.candidates(mine.unionByName(old.withColumn("side", F.lit(1).cast("byte"))), self.t, True).unionByName(simjoin.candidates(mine, self.t, False)))
+        met = materialize(simjoin.candidates(mine, self.t, old).union(simjoin.candidates(mine, self.t)).distinct())
         here = simjoin.sets_of(batch, text_col, 1, rows.where("set_id is not null").select(F.col("set_id").alias("id")).distinct())
         known = materialize(here)
         every = known.unionByName(sets).dropDuplicates(["id"])
@@ -122,6 +122,6 @@ class SegmentHistory:
         cases = materialize(rows.join(accepted, ["id", "batch"], "left_anti").select("id", "batch"))
         kept = accepted.where("set_id is not null").select(F.col("set_id").alias("id")).distinct()
         accepted.select("path", "set_id").write.mode("append").parquet(f"{self.path}/rows")
-        mine.join(kept, "id", "left_semi").dropDuplicates(["key", "id"]).select("key", "id", "size", "sketch", "side").write.mode("append").parquet(f"{self.path}/segments")
+        mine.join(kept, "id", "left_semi").dropDuplicates(["key", "id"]).select("key", "id", "size", "sketch").write.mode("append").parquet(f"{self.path}/segments")
         known.join(kept, "id", "left_semi").write.mode("append").parquet(f"{self.path}/sets")
         return cases

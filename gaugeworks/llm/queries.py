@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import history, mixing, overlap, packing, vectors
+from gaugeworks.llm import history, mixing, overlap, packing, readability, vectors
 from gaugeworks.session import load
 
 
@@ -42,7 +42,23 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.shares(mixing.mix(load(spark, sf_dir, "documents"), targets), targets)
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p5_found": p5_found, "p7_pack": p7_pack, "p7_fill": p7_fill, "p8_mix": p8_mix, "p8_shares": p8_shares}
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    english = docs.where(readability.language(F.col("lang")) == "en")
+    return readability.reading_bands(readability.reading_levels(english)).where("reading_band is not null").select("doc_id", "reading_band")
+
+
+def p9_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readability.reading_bands(readability.reading_levels(load(spark, sf_dir, "documents")))
+
+
+def p9_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), mixing.source_key(F.col("source")).alias("source_name"))
+    return named.join(readability.reading_levels(docs), "doc_id").groupBy("source_name").agg(F.count("*").alias("documents"), F.count("level").alias("graded"), F.avg("level").alias("mean_level"), F.percentile_approx("level", [0.1, 0.5, 0.9]).alias("level_deciles"))
+
+
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p5_found": p5_found, "p7_pack": p7_pack, "p7_fill": p7_fill, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_found": p9_found, "p9_levels": p9_levels, "p9_profile": p9_profile}
 ORACLE: dict[str, str] = {}
 
 

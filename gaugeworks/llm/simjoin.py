@@ -38,6 +38,7 @@ HOT = 3000
 FILTER_BITS = 24
 SEEN = 1 << 20
 EPS = 1e-9
+SEGMENTS = "key long, id long, size int, sketch long"
 
 
 def frequencies(df: DataFrame, text: str, shingle: int) -> np.ndarray:
@@ -86,8 +87,8 @@ def _segments(h: np.ndarray, r: np.ndarray, n_rows: int, freq: np.ndarray, t: fl
     return np.concatenate(keys), np.concatenate(rows)
 
 
-def segments(df: DataFrame, text: str, shingle: int, t: float, freq: np.ndarray, side: str | None = None) -> DataFrame:
-    """``key, id, size, sketch, side``: the stored segments of each distinct set. ``side`` names an int column."""
+def segments(df: DataFrame, text: str, shingle: int, t: float, freq: np.ndarray) -> DataFrame:
+    """``key, id, size, sketch``: the stored segments of each distinct set."""
     shared = df.sparkSession.sparkContext.broadcast(freq)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,9 +98,8 @@ def segments(df: DataFrame, text: str, shingle: int, t: float, freq: np.ndarray,
             n = b.num_rows
             h, r = token_sets(b.column(0), shingle)
             ids, sizes = set_hash(h, r, n)
-            sides = np.asarray(b.column(1).to_numpy(zero_copy_only=False), np.int8) if side else np.zeros(n, np.int8)
             fresh = np.ones(n, bool)
-            for i, key in enumerate(zip(ids.tolist(), sides.tolist())):  # copies within a partition store nothing again
+            for i, key in enumerate(ids.tolist()):  # copies within a partition store nothing again
                 fresh[i] = key not in seen
                 seen.add(key)
             if len(seen) > SEEN:
@@ -113,27 +113,28 @@ def segments(df: DataFrame, text: str, shingle: int, t: float, freq: np.ndarray,
             sketch[r[first]] = np.bitwise_xor.reduceat(np.uint64(1) << (h & np.uint64(63)), first)
             keys, rows = _segments(h, r, n, table, t)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.view(np.int64)), pa.array(ids[rows].view(np.int64)), pa.array(sizes[rows].astype(np.int32)), pa.array(sketch[rows].view(np.int64)), pa.array(sides[rows])],
-                names=["key", "id", "size", "sketch", "side"],
+                [pa.array(keys.view(np.int64)), pa.array(ids[rows].view(np.int64)), pa.array(sizes[rows].astype(np.int32)), pa.array(sketch[rows].view(np.int64))],
+                names=["key", "id", "size", "sketch"],
             )
 
-    cols = [text] + ([side] if side else [])
-    return df.select(*cols).mapInArrow(emit, "key long, id long, size int, sketch long, side byte")
+    return df.select(text).mapInArrow(emit, SEGMENTS)
 
 
 def overlap_needed(t: float, a: Column, b: Column) -> Column:
     return F.ceil(F.lit(t / (1 + t)) * (a + b) - F.lit(EPS))
 
 
-def candidates(stored: DataFrame, t: float, two_sided: bool) -> DataFrame:
+def candidates(stored: DataFrame, t: float, other: DataFrame | None = None) -> DataFrame:
     """``id_a, id_b``: sets that share a segment and pass the length and sketch bounds.
 
-    One-sided: each pair once, id_a < id_b. Two-sided: id_a of side 0, id_b of side 1;
-    a set that stands on both sides is not paired with itself."""
-    once = stored.repartition("key").dropDuplicates(["key", "id", "side"])
-    a = once.select("key", *(F.col(c).alias(c + "_a") for c in ("id", "size", "sketch", "side")))
-    b = once.select("key", *(F.col(c).alias(c + "_b") for c in ("id", "size", "sketch", "side")))
-    which = (F.col("side_a") == 0) & (F.col("side_b") == 1) & (F.col("id_a") != F.col("id_b")) if two_sided else F.col("id_a") < F.col("id_b")
+    Within ``stored`` each pair once, id_a < id_b; or id_a of ``stored`` and id_b of
+    ``other``, a set that stands on both sides not being paired with itself."""
+
+    def once(x: DataFrame, end: str) -> DataFrame:
+        return x.repartition("key").dropDuplicates(["key", "id"]).select("key", *(F.col(c).alias(c + end) for c in ("id", "size", "sketch")))
+
+    a, b = once(stored, "_a"), once(stored if other is None else other, "_b")
+    which = F.col("id_a") < F.col("id_b") if other is None else F.col("id_a") != F.col("id_b")
     total = F.col("size_a") + F.col("size_b")
     bound = total - 2 * overlap_needed(t, F.col("size_a"), F.col("size_b"))
     fits = (F.least("size_a", "size_b") >= F.lit(t) * F.greatest("size_a", "size_b") - EPS) & (F.bit_count(F.col("sketch_a").bitwiseXOR(F.col("sketch_b"))) <= bound)
@@ -188,12 +189,13 @@ def sets_of(df: DataFrame, text: str, shingle: int, ids: DataFrame) -> DataFrame
 
 
 def similar_sets(df: DataFrame, text: str, t: float, shingle: int = 1, side: str | None = None) -> DataFrame:
-    """``id_a, id_b, overlap, size_a, size_b``: all pairs of different sets with Jaccard >= t (see :func:`candidates` for the order).
+    """``id_a, id_b, overlap, size_a, size_b``: all pairs of different sets with Jaccard >= t; with ``side``, id_a from its rows of 0 and id_b of 1.
 
     ``id`` is the set's hash (:func:`gaugeworks.llm.tokens.set_hash`). Null, blank and
     wordless texts have no set and no pair; repeated texts share one set."""
     freq = frequencies(df, text, shingle)
-    met = materialize(candidates(segments(df, text, shingle, t, freq, side), t, side is not None))
+    stored = [segments(x, text, shingle, t, freq) for x in ([df] if side is None else [df.where(F.col(side) == 0), df.where(F.col(side) == 1)])]
+    met = materialize(candidates(stored[0], t, *stored[1:]))
     ids = met.select(F.explode(F.array("id_a", "id_b")).alias("id")).distinct()
     sets = materialize(sets_of(df, text, shingle, ids))
     pairs = met.join(sets.select(F.col("id").alias("id_a"), F.col("tokens").alias("tokens_a")), "id_a").join(sets.select(F.col("id").alias("id_b"), F.col("tokens").alias("tokens_b")), "id_b")
