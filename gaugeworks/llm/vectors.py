@@ -6,7 +6,7 @@ own start, give as many bits as wanted. The code is split into substrings of abo
 log2(n) bits, each indexed. With L substrings, two codes within a Hamming radius of
 L - 1 agree in at least one of them (pigeonhole), so looking up every substring
 retrieves every code within that radius. Codes met are filtered by the Hamming
-distance of a 64-bit code and reranked by the cosine of the floats.
+distance of a code of CHECK_BITS bits and reranked by the cosine of the floats.
 
 L follows from the substring length and the recall wanted for a pair just at the
 cosine floor; pairs above it are found more surely. Every vector is indexed.
@@ -32,6 +32,7 @@ from gaugeworks.session import materialize
 DIM = 64
 SAMPLE = 20_000
 RECALL_AT_FLOOR = 0.97
+CHECK_BITS = 128
 
 
 def unit_rows(column: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
@@ -111,7 +112,7 @@ def most_similar(df: DataFrame, id_col: str, is_target, vector_col: str, k: int
     share = min(1.0, 1.2 * SAMPLE / (counts[True] + counts[False]))
     sample = units(pa.array([bytes(r[0]) for r in unit.select("raw").sample(share, 11).limit(SAMPLE).collect()] or [np.ones(dim, kind).tobytes()]))
     mean, matrix = learn_rotations(sample, bits * n_sub)
-    check_mean, check_matrix = learn_rotations(sample, 64, seed=23)
+    check_mean, check_matrix = learn_rotations(sample, CHECK_BITS, seed=23)
     shared = spark.sparkContext.broadcast((mean, matrix, check_mean, check_matrix))
     weight = 1 << np.arange(bits, dtype=np.int64)
 
@@ -129,15 +130,15 @@ def most_similar(df: DataFrame, id_col: str, is_target, vector_col: str, k: int
             x = units(b.column(2))
             code = ((x - mean) @ matrix >= 0).reshape(len(x), n_sub, bits) @ weight
             keys = code + (np.arange(n_sub, dtype=np.int64) << 32)
-            check = np.packbits((x - check_mean) @ check_matrix >= 0, axis=1).view(np.int64).ravel()
+            check = np.packbits((x - check_mean) @ check_matrix >= 0, axis=1).view(np.int64)
             offsets = pa.array(np.arange(len(x) + 1, dtype=np.int32) * n_sub)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(check), pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()))], names=["target", "rep", "check", "keys"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(c) for c in check.T), pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()))], names=["target", "rep", "check1", "check2", "keys"])
 
-    codes = reps.select("target", "rep", "raw").mapInArrow(encode, "target boolean, rep long, check long, keys array<long>")
-    index = codes.select("target", "rep", "check", F.explode("keys").alias("key"))
-    probe = index.where("target").select("key", F.col("rep").alias("t"), F.col("check").alias("t_check"))
-    stored = index.where("not target").select("key", F.col("rep").alias("s"), F.col("check").alias("s_check"))
-    close = F.bit_count(F.col("t_check").bitwiseXOR(F.col("s_check"))) <= hamming_bound(floor, 64)
+    codes = reps.select("target", "rep", "raw").mapInArrow(encode, "target boolean, rep long, check1 long, check2 long, keys array<long>")
+    index = codes.select("target", "rep", "check1", "check2", F.explode("keys").alias("key"))
+    probe = index.where("target").select("key", F.col("rep").alias("t"), F.col("check1").alias("t1"), F.col("check2").alias("t2"))
+    stored = index.where("not target").select("key", F.col("rep").alias("s"), F.col("check1").alias("s1"), F.col("check2").alias("s2"))
+    close = F.bit_count(F.col("t1").bitwiseXOR(F.col("s1"))) + F.bit_count(F.col("t2").bitwiseXOR(F.col("s2"))) <= hamming_bound(floor, CHECK_BITS)
     met = probe.join(stored, "key").where(close).select("t", "s").distinct()
 
     t_side = reps.where("target").select(F.col("rep").alias("t"), F.col("raw").alias("t_raw"), F.col("class").alias("t_class"))
