@@ -25,3 +25,41 @@ def path_key(col: Column, fold_case: bool = False) -> Column:
     if fold_case:
         p = F.lower(p)
     return F.when(p != "", p)
+
+
+def slashes(col: Column) -> Column:
+    """Forward slashes and none at the end."""
+    return F.regexp_replace(F.translate(col, "\\", "/"), r"/+$", "")
+
+
+def basename(col: Column) -> Column:
+    return F.regexp_extract(slashes(col), r"([^/]*)$", 1)
+
+
+def resolve(col: Column, root: str) -> Column:
+    """Absolute: under ``root`` unless it starts with a slash; ``.`` segments dropped (``..`` and links aren't followed)."""
+    p = slashes(col)
+    return F.regexp_replace(F.when(F.startswith(p, F.lit("/")), p).otherwise(F.concat(F.lit(root.rstrip("/") + "/"), p)), r"/\.(?=/|$)", "")
+
+
+def lookup_keys(col: Column, root: str) -> Column:
+    """The spellings by which a path may be looked up: as it is, resolved, and its file name."""
+    return F.array_distinct(F.array(slashes(col), resolve(col, root), basename(col)))
+
+
+def is_under(col: Column, root: str) -> Column:
+    r = root.rstrip("/")
+    return (slashes(col) == r) | F.startswith(slashes(col), F.lit(r + "/"))
+
+
+def relative(col: Column, root: str) -> Column:
+    """Relative to ``root``; null outside it."""
+    r = root.rstrip("/")
+    return F.when(is_under(col, root), F.regexp_replace(F.substring(slashes(col), len(r) + 1, 1 << 30), "^/", ""))
+
+
+def pair_image(root: str, input_path: Column, object_name: Column, light: Column, ext: str = ".jpg") -> Column:
+    """``root/input_path/object_light.ext``; an input path that names a file stays that file."""
+    p = slashes(input_path)
+    whole = F.concat(F.lit(root.rstrip("/") + "/"), p)
+    return F.when(F.lower(p).rlike(r"\.(?:jpe?g|png|bmp)$"), whole).otherwise(F.concat(whole, F.lit("/"), object_name, F.lit("_"), light, F.lit(ext)))
