@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gaugeworks.functions.numbers import short_hash
 from gaugeworks.functions.paths import strip_blank
+from gaugeworks.operators.prefix import prefix_sums
 
 # fixed values
 LEAK_KEY = ("input_path", "golden_path", "label", "object_name", "boardname")
@@ -38,7 +39,9 @@ def union_with_provenance(inputs: dict[str, DataFrame], order: str) -> DataFrame
     for i, (name, df) in enumerate(inputs.items()):
         tagged = df.withColumns({"source_no": F.lit(i), "source": F.lit(name)})
         out = tagged if out is None else out.unionByName(tagged, allowMissingColumns=True)
-    return out.withColumn("source_index", F.row_number().over(Window.partitionBy("source_no").orderBy(order)) - 1)
+    numbered = prefix_sums(out, ["source_no", order], {"_n": F.lit(1).cast("long")})
+    first = numbered.groupBy("source_no").agg(F.min("_n").alias("_first"))  # one row an input
+    return numbered.join(F.broadcast(first), "source_no").withColumn("source_index", F.col("_n") - F.col("_first")).drop("_n", "_first")
 
 
 def assemble(inputs: dict[str, DataFrame], pair: list[str], order: str) -> DataFrame:
@@ -152,10 +155,11 @@ def split_by_hash(df: DataFrame, key: str, parts: dict[str, float], seed: int =
     return df.withColumn("part", c.otherwise(list(parts)[-1]))
 
 
-def split_by_time(df: DataFrame, time: str, last: float) -> DataFrame:
-    """The rows after the (1 - last)-quantile of time as ``validation``, the others as ``train``."""
-    cut = df.agg(F.percentile(F.unix_micros(time), F.lit(1 - last)).alias("cut"))
-    return df.crossJoin(F.broadcast(cut)).withColumn("part", F.when(F.unix_micros(time) > F.col("cut"), "validation").otherwise("train")).drop("cut")
+def split_by_time(df: DataFrame, time: str, key: str, last: float) -> DataFrame:
+    """The last fraction of the rows by time, then key, as ``validation``, the others as ``train``."""
+    n = df.count()
+    ranked = prefix_sums(df, [time, key], {"_n": F.lit(1).cast("long")})
+    return ranked.withColumn("part", F.when(F.col("_n") >= F.lit(round(n * (1 - last))), "validation").otherwise("train")).drop("_n")
 
 
 def pair_plan(masks: DataFrame, cleans: DataFrame, count: int) -> DataFrame:

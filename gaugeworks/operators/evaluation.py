@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,31 +44,40 @@ def box_iou(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(w * h, area(a) + area(b) - w * h), F.lit(0.0))
 
 
+def _greedy(found: list[dict], boxes: list[list[float]], least_iou: float) -> list[tuple[float, bool]]:
+    """Detections by falling score, each taking the free box it overlaps most."""
+    free, out = list(boxes), []
+    for d in sorted(found, key=lambda d: -d["score"]):
+        best, at, p = least_iou, None, d["box"]
+        for i, b in enumerate(free):
+            w = max(0.0, min(p[2], b[2]) - max(p[0], b[0]))
+            h = max(0.0, min(p[3], b[3]) - max(p[1], b[1]))
+            whole = (p[2] - p[0]) * (p[3] - p[1]) + (b[2] - b[0]) * (b[3] - b[1]) - w * h
+            if whole > 0 and w * h / whole >= best:
+                best, at = w * h / whole, i
+        if at is not None:
+            free.pop(at)
+        out.append((d["score"], at is not None))
+    return out
+
+
 def matched_detections(predicted: DataFrame, truth: DataFrame, least_iou: float = 0.5) -> DataFrame:
     """Greedy matching by score within each image and class: ``image, class, score, hit``.
 
-    ``predicted``: image, class, score, box; ``truth``: image, class, box. Pairs of an image are compared in one small group each."""
-    p = predicted.withColumn("side", F.lit(0)).select("image", "class", "side", "score", "box")
-    t = truth.select("image", "class", F.lit(1).alias("side"), F.lit(None).cast("double").alias("score"), "box")
-
-    def match(pdf: pd.DataFrame) -> pd.DataFrame:
-        free = list(pdf.loc[pdf["side"] == 1, "box"])
-        out = []
-        for _, r in pdf[pdf["side"] == 0].sort_values("score", ascending=False, kind="stable").iterrows():
-            best, at = least_iou, None
-            for i, b in enumerate(free):
-                w = max(0.0, min(r["box"][2], b[2]) - max(r["box"][0], b[0]))
-                h = max(0.0, min(r["box"][3], b[3]) - max(r["box"][1], b[1]))
-                whole = (r["box"][2] - r["box"][0]) * (r["box"][3] - r["box"][1]) + (b[2] - b[0]) * (b[3] - b[1]) - w * h
-                if whole > 0 and w * h / whole >= best:
-                    best, at = w * h / whole, i
-            if at is not None:
-                free.pop(at)
-            out.append((r["image"], r["class"], r["score"], at is not None))
-        return pd.DataFrame(out, columns=["image", "class", "score", "hit"])
-
-    kind = predicted.schema["image"].dataType.simpleString(), predicted.schema["class"].dataType.simpleString()
-    return p.unionByName(t).groupBy("image", "class").applyInPandas(match, f"image {kind[0]}, class {kind[1]}, score double, hit boolean")
+    ``predicted``: image, class, score, box; ``truth``: image, class, box. What is gathered is one image's boxes of a class."""
+    p = predicted.groupBy("image", "class").agg(F.collect_list(F.struct(F.col("score").cast("double").alias("score"), "box")).alias("found"))
+    t = truth.groupBy("image", "class").agg(F.collect_list("box").alias("boxes"))
+    both = p.join(t, ["image", "class"], "left").select("image", "class", "found", "boxes")
+    hits = "array<struct<score:double,hit:boolean>>"
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("score", pa.float64()), ("hit", pa.bool_())]))
+        for b in batches:
+            rows = [[{"score": s, "hit": h} for s, h in _greedy(f, x or [], least_iou)] for f, x in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(rows, kind)], names=["image", "class", "hits"])
+
+    kinds = [predicted.schema[c].dataType.simpleString() for c in ("image", "class")]
+    return both.mapInArrow(match, f"image {kinds[0]}, class {kinds[1]}, hits {hits}").select("image", "class", F.inline("hits"))
 
 
 def average_precision(matched: DataFrame, truth: DataFrame) -> DataFrame:

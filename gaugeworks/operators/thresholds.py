@@ -134,10 +134,13 @@ def drop_worst(rows: DataFrame, drops: tuple[int, ...] = (1, 2, 3, 5)) -> DataFr
     return one.select(F.inline(each))
 
 
-def score_stats(rows: DataFrame, *by: str | Column) -> DataFrame:
-    """Extremes, mean, median and sample deviation of the scores of each group."""
+def score_stats(rows: DataFrame, *by: str | Column, exact: bool = True) -> DataFrame:
+    """Extremes, mean, median and sample deviation of the scores of each group.
+
+    The exact median keeps a group's distinct scores in memory; without ``exact`` it's a sketch of bounded size."""
     s = F.col("score")
-    return rows.groupBy(*by).agg(F.count("*").alias("n"), F.min(s).alias("low"), F.max(s).alias("high"), F.avg(s).alias("mean"), F.median(s).alias("median"), F.stddev_samp(s).alias("deviation"))
+    median = F.median(s) if exact else F.percentile_approx(s, 0.5, 10_000)
+    return rows.groupBy(*by).agg(F.count("*").alias("n"), F.min(s).alias("low"), F.max(s).alias("high"), F.avg(s).alias("mean"), median.alias("median"), F.stddev_samp(s).alias("deviation"))
 
 
 def group_errors(rows: DataFrame, threshold: float, *by: str) -> DataFrame:
@@ -166,9 +169,9 @@ def histogram(rows: DataFrame, bins: int = 20) -> DataFrame:
     return rows.where("score is not null").groupBy(b.alias("bin")).agg(F.count_if(~F.col("defect")).alias("n_pass"), F.count_if("defect").alias("n_defect")).withColumn("edge", F.lit(low) + F.col("bin") * F.lit(width))
 
 
-def high_mean_groups(rows: DataFrame, by: str, q: float = 0.75) -> DataFrame:
-    """Groups whose mean score lies above the overall q-quantile."""
-    overall = rows.agg(F.percentile("score", F.lit(q)).alias("cut"))
+def high_mean_groups(rows: DataFrame, by: str, q: float = 0.75, exact: bool = True) -> DataFrame:
+    """Groups whose mean score lies above the overall q-quantile (see :func:`score_stats` for ``exact``)."""
+    overall = rows.agg((F.percentile("score", F.lit(q)) if exact else F.percentile_approx("score", q, 10_000)).alias("cut"))
     return rows.groupBy(by).agg(F.avg("score").alias("mean")).crossJoin(F.broadcast(overall)).where(F.col("mean") > F.col("cut"))
 
 

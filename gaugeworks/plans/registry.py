@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("scores", "pipeline")
+MODULES = ("scores", "scalars", "similar", "datasets", "logs", "checks", "files", "pipeline")
 
 
 def queries() -> dict:
