@@ -59,7 +59,19 @@ def p9_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p5_found": p5_found, "p7_pack": p7_pack, "p7_fill": p7_fill, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_found": p9_found, "p9_levels": p9_levels, "p9_profile": p9_profile}
-ORACLE: dict[str, str] = {}
+P5 = r"""
+with r as (select record_id, split_field in ('training_csv', 'combined_training_json') train, question,
+    coalesce(regexp_replace(input_path, '^\s+|\s+$', '', 'g'), '') a, coalesce(regexp_replace(golden_path, '^\s+|\s+$', '', 'g'), '') b, coalesce(regexp_replace(label, '^\s+|\s+$', '', 'g'), '') c, coalesce(regexp_replace(object_name, '^\s+|\s+$', '', 'g'), '') d
+  from split_records where split_field in ('training_csv', 'combined_training_json', 'validation_csv', 'kpi_test_csv')),
+w as (select record_id, train, regexp_extract_all(lower(question), '[a-z0-9]+') w from r),
+s as (select record_id, train, unnest(list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) g from w where len(w) >= 3),
+n as (select record_id, count(*) n from s group by 1),
+near as (select e.record_id x, t.record_id y, count(*) o from s e join s t on e.g = t.g and t.train and not e.train group by all),
+pairs as (select x, y from near join n a on a.record_id = x join n b on b.record_id = y where 5 * o >= 3 * (a.n + b.n - o)
+  union select e.record_id, t.record_id from r e join r t on t.train and not e.train and e.a = t.a and e.b = t.b and e.c = t.c and e.d = t.d and e.a <> '' and e.d <> '')
+select least(x, y) record_a, greatest(x, y) record_b from pairs"""
+
+ORACLE: dict[str, str] = {"p5_found": P5}
 
 
 def queries() -> dict:
