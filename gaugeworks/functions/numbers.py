@@ -95,7 +95,7 @@ def norm(v: Column) -> Column:
 def cosine(a: Column, b: Column) -> Column:
     """In [-1, 1]; null for a zero vector or unequal lengths."""
     c = F.try_divide(dot(a, b), norm(a) * norm(b))
-    return F.when(F.size(a) == F.size(b), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), c)))
+    return F.when((F.size(a) == F.size(b)) & c.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), c)))
 
 
 def euclidean(a: Column, b: Column) -> Column:
