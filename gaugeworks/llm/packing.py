@@ -12,12 +12,15 @@ Small documents that no gap takes fill containers of their own class; those of c
 TINY and above are laid end to end, a container taking all that begin in its first
 C - C / TINY tokens.
 
+The last, incomplete container of each class is no container yet: what would lie in
+them, under TINY**2 / 2 documents whatever the data, is placed first-fit by falling size.
+
 Ranks come from one two-pass prefix sum over (class, size, id); what reaches the
 driver is one number a class and tier."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeworks.llm.tokenizer import VOCABULARY, token_counts
@@ -60,7 +63,7 @@ def pack_sizes(sizes: DataFrame, id_col: str, size_col: str, capacity: int = CAP
     def in_class(cut: dict[int, int]) -> DataFrame:
         """Containers of the class itself for the items from rank ``cut`` of the class on."""
         j = F.col("class")
-        by = F.element_at(F.create_map(*(F.lit(x) for k, v in cut.items() for x in (k, v))), j.cast("int"))
+        by = _by_class(cut)
         mine = items.where(F.col("rank") >= by)
         tiny_from = mine.where(j == TINY).agg(F.min("laid")).first()[0] or 0
         number = F.when(j < TINY, F.floor((F.col("rank") - by) / j)).otherwise(F.floor((F.col("laid") - F.lit(tiny_from)) / F.lit(capacity - capacity // TINY)))
@@ -83,13 +86,34 @@ def pack_sizes(sizes: DataFrame, id_col: str, size_col: str, capacity: int = CAP
     cut = {j: start[TINY + 1] for j in range(1, SMALL)}
     for low, high in TIERS:
         cut |= {j: max(start[j], start[low] + taken[low]) for j in range(low, high)}
-    placed.append(in_class(cut))
+    ends = {j: start[j + 1] - (start[j + 1] - cut[j]) % j if SMALL <= j < TINY else start[TINY + 1] for j in range(1, TINY + 1)}
+    own, tail = in_class(cut), F.col("rank") >= _by_class(ends)
+    placed.append(own.where(~tail))
+    placed.append(_first_fit(own.where(tail), capacity))
     out = whole.unionByName(nothing)
     for p in placed:
         out = out.unionByName(p.select(id_col, "piece", "token_from", "n_tokens", "container_id"))
     return out
 
 
+def _by_class(values: dict[int, int]) -> Column:
+    """The value of a row's class."""
+    return F.element_at(F.array(*(F.lit(values[j]).cast("long") for j in range(1, TINY + 1))), F.col("class").cast("int"))
+
+
+def _first_fit(few: DataFrame, capacity: int) -> DataFrame:
+    """Place a bounded number of items by first fit of falling sizes, on the driver."""
+    rows, free, spots = few.select("rank", "n_tokens").collect(), [], []
+    for r in sorted(rows, key=lambda r: (-r["n_tokens"], r["rank"])):
+        at = next((i for i, x in enumerate(free) if x >= r["n_tokens"]), len(free))
+        if at == len(free):
+            free.append(capacity)
+        free[at] -= r["n_tokens"]
+        spots.append((r["rank"], f"rest-{at}"))
+    where = few.sparkSession.createDataFrame(spots, "rank long, _spot string")
+    return few.join(F.broadcast(where), "rank").withColumn("container_id", F.col("_spot"))
+
+
 def fill(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``containers, tokens, fill, overfull, documents_without_tokens`` of a packing: one row."""
     by = packed.groupBy("container_id").agg(F.sum("n_tokens").alias("used"), F.count("*").alias("pieces"))

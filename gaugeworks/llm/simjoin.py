@@ -193,6 +193,8 @@ def similar_sets(df: DataFrame, text: str, t: float, shingle: int = 1, side: str
 
     ``id`` is the set's hash (:func:`gaugeworks.llm.tokens.set_hash`). Null, blank and
     wordless texts have no set and no pair; repeated texts share one set."""
+    if not 0.5 < t <= 1:
+        raise ValueError("t must be above 0.5, so that similar sets of two tokens or more share two")
     freq = frequencies(df, text, shingle)
     stored = [segments(x, text, shingle, t, freq) for x in ([df] if side is None else [df.where(F.col(side) == 0), df.where(F.col(side) == 1)])]
     met = materialize(candidates(stored[0], t, *stored[1:]))
