@@ -6,9 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: Every character that counts as white space.
+BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip_blank(col: Column) -> Column:
     """Without outer white space of any kind (Spark's ``trim`` takes spaces only)."""
-    return F.regexp_replace(col, r"(?U)^\s+|\s+$", "")
+    return F.btrim(col, F.lit(BLANKS))
 
 
 def path_key(col: Column, fold_case: bool = False) -> Column:
@@ -16,15 +20,16 @@ def path_key(col: Column, fold_case: bool = False) -> Column:
 
     Outer blanks, a leading ``file://`` or ``./``, ``.`` segments, backslashes,
     repeated and trailing slashes make no difference, nor does letter case with
-    ``fold_case``."""
-    p = F.translate(strip_blank(col), "\\", "/")
-    p = F.regexp_replace(p, r"(?i)^file://", "")
-    p = F.regexp_replace(p, r"/{2,}", "/")
-    p = F.regexp_replace(p, r"(^|/)(?:\.(?:/|$))+", "$1")
-    p = F.regexp_replace(p, r"/+$", "")
+    ``fold_case``. Most paths have none of these and pass with one look."""
+    p = F.replace(strip_blank(col), F.lit("\\"), F.lit("/"))
+    q = F.regexp_replace(p, r"(?i)^file://", "")
+    q = F.regexp_replace(q, r"/{2,}", "/")
+    q = F.regexp_replace(q, r"(^|/)(?:\.(?:/|$))+", "$1")
+    q = F.regexp_replace(q, r"/+$", "")
+    out = F.when(p.rlike(r"//|/\.?$|/\./|^\./|^\.$"), q).otherwise(p)
     if fold_case:
-        p = F.lower(p)
-    return F.when(p != "", p)
+        out = F.lower(out)
+    return F.when(out != "", out)
 
 
 def slashes(col: Column) -> Column:
