@@ -71,18 +71,19 @@ def cascade(orphans: DataFrame, records: DataFrame) -> DataFrame:
     ``orphans`` names the direct ones (``src_table, row_key``); ``records`` has
     ``src_table, row_key, own, up``: the group a record stands for and the group it
     depends on, either null. Cycles end, as a record is taken once."""
-    records = materialize(records)
     key = ["src_table", "row_key"]
-    seen = materialize(orphans.select(*key).distinct().withColumn("depth", F.lit(0)))
-    frontier, levels, depth = seen, [], 0
+    direct = materialize(orphans.select(*key).distinct())
+    edges = materialize(records.where("own is not null and up is not null").select("up", F.col("own").alias("g")).distinct())
+    # the walk is over groups; a group is orphaned with the first of its records
+    frontier = materialize(records.where("own is not null").join(direct, key, "left_semi").select(F.col("own").alias("g")).distinct().withColumn("depth", F.lit(0)))
+    seen, depth = frontier, 0
     while not frontier.isEmpty():
         depth += 1
-        groups = records.where("own is not null").join(frontier.select(*key), key, "left_semi").select(F.col("own").alias("up")).distinct()
-        reached = records.where("up is not null").join(groups, "up", "left_semi").select(*key).distinct()
-        frontier = materialize(reached.join(seen.select(*key), key, "left_anti").withColumn("depth", F.lit(depth)))
-        levels.append(frontier)
+        reached = edges.join(frontier.select(F.col("g").alias("up")), "up", "left_semi").select("g").distinct()
+        frontier = materialize(reached.join(seen.select("g"), "g", "left_anti").withColumn("depth", F.lit(depth)))
         seen = seen.unionByName(frontier)
-    return seen.where("depth > 0")
+    inherited = records.where("up is not null").join(seen.select(F.col("g").alias("up"), "depth"), "up")
+    return inherited.groupBy(*key).agg((F.min("depth") + 1).alias("depth")).join(direct, key, "left_anti")
 
 
 def run_orphans(iterations: DataFrame, log: DataFrame, artifacts: DataFrame, stages: DataFrame) -> DataFrame:
@@ -91,11 +92,14 @@ def run_orphans(iterations: DataFrame, log: DataFrame, artifacts: DataFrame, sta
     Direct orphans have their reason. Inherited ones have no field or reason: an
     iteration's state depends on the iteration before it, a log event on the state of
     its iteration."""
-    paths = [references(iterations, "deft_iterations", "state_id", f, path_key(F.col(f)), "updated_at") for f in ("best_ckpt_path", "inference_csv")]
-    into_files = check_references(paths[0].unionByName(paths[1]), lives(artifacts, path_key(F.col("artifact_path")), "created_at", "deleted_at"))
     stage = lambda c: F.lower(strip_blank(F.col(c)))
-    into_stages = check_references(references(log, "loop_log", "log_id", "stage", stage("stage"), "ts"), lives(stages, stage("stage_name"), "introduced_at", "retired_at"))
-    checked = into_files.unionByName(into_stages).where("orphan_reason is not null")
+    into = lambda kind, k: F.when(k != "", F.concat(F.lit(kind + ":"), k))  # noqa: E731  # both targets in one order
+    refs = references(log, "loop_log", "log_id", "stage", into("stage", stage("stage")), "ts")
+    for f in ("best_ckpt_path", "inference_csv"):
+        refs = refs.unionByName(references(iterations, "deft_iterations", "state_id", f, into("file", path_key(F.col(f))), "updated_at"))
+    files = lives(artifacts, into("file", path_key(F.col("artifact_path"))), "created_at", "deleted_at")
+    targets = files.unionByName(lives(stages, into("stage", stage("stage_name")), "introduced_at", "retired_at"))
+    checked = check_references(refs, targets).where("orphan_reason is not null")
     direct = materialize(checked.select("src_table", "row_key", "ref_field", "orphan_reason", F.date_format("at", "yyyy-MM").alias("ref_month")))
     number = F.when(F.lower(strip_blank(F.col("iter"))) == "baseline", 0).otherwise(F.regexp_extract(F.lower(strip_blank(F.col("iter"))), r"^iter(\d{1,9})$", 1).try_cast("int"))
     group = lambda n: F.when(F.col("run_id").isNotNull() & n.isNotNull(), F.struct(F.col("run_id").alias("run"), n.cast("int").alias("n")))

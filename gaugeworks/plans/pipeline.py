@@ -21,6 +21,13 @@ def p2_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parents.select("manifest_id", F.col("pos_0").alias("parent_pos"), F.col("entry.kind").alias("kind"), F.col("entry.parent").alias("parent_name"), F.size("entry.entries").alias("n_entries"))
 
 
+def p2_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries with and without a name, by kind of list and document."""
+    docs = load(spark, sf_dir, "model_manifests")
+    entries = nested.manifest_children(docs).groupBy("manifest_id", "kind").agg(F.count("child_name").alias("named"), F.count_if(F.col("child_name").isNull()).alias("blank"))
+    return docs.select("manifest_id", "doc_kind").join(entries, "manifest_id").groupBy("doc_kind", "kind").agg(F.count("*").alias("documents"), F.sum("named").alias("named"), F.sum("blank").alias("blank"))
+
+
 def _orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orphans.run_orphans(*(load(spark, sf_dir, t) for t in ("deft_iterations", "loop_log", "artifacts", "stages")))
 
@@ -37,6 +44,15 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsing.failed_lines(load(spark, sf_dir, "raw_lines"), load(spark, sf_dir, "defect_labels"))
 
 
+def p6_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines by kind and reason, with the edits a repair would take; a null reason is a valid line."""
+    rows, events = parsing.split_lines(load(spark, sf_dir, "raw_lines"), load(spark, sf_dir, "defect_labels"))
+    cols = ["line_kind", "fail_reason", "quote_edits", "delimiter_edits"]
+    none = F.lit(None).cast("long")
+    both = rows.withColumn("line_kind", F.lit("inference_csv")).select(*cols).unionByName(events.select(F.lit("loop_log").alias("line_kind"), "fail_reason", none.alias("quote_edits"), none.alias("delimiter_edits")))
+    return both.groupBy("line_kind", "fail_reason").agg(F.count("*").alias("lines"), F.sum("quote_edits").alias("quote_edits"), F.sum("delimiter_edits").alias("delimiter_edits"))
+
+
 def p6_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, _ = parsing.split_lines(load(spark, sf_dir, "raw_lines"), load(spark, sf_dir, "defect_labels"))
     return rows.where("fail_reason is null").select(F.col("id").alias("line_id"), "input_path", "golden_path", "label", "object_name", "score")
@@ -47,7 +63,7 @@ def p6_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.where("fail_reason is null").drop("fail_reason").withColumnRenamed("id", "line_id")
 
 
-QUERIES = {"p2_found": p2_found, "p2_parents": p2_parents, "p4_found": p4_found, "p4_report": p4_report, "p6_found": p6_found, "p6_rows": p6_rows, "p6_events": p6_events}
+QUERIES = {"p2_found": p2_found, "p2_parents": p2_parents, "p2_report": p2_report, "p4_found": p4_found, "p4_report": p4_report, "p6_found": p6_found, "p6_report": p6_report, "p6_rows": p6_rows, "p6_events": p6_events}
 
 _PATH = "nullif(regexp_replace(regexp_replace(regexp_replace(regexp_replace(translate(regexp_replace({c}, '^\\s+|\\s+$', '', 'g'), '\\', '/'), '^file://', '', 'i'), '/{{2,}}', '/', 'g'), '(^|/)(?:\\.(?:/|$))+', '\\1', 'g'), '/+$', ''), '')"
 _BLANKLESS = "regexp_replace({c}, '^\\s+|\\s+$', '', 'g')"
