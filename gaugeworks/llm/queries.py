@@ -20,11 +20,27 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.repeated_rows(load(spark, sf_dir, "curation_rows")).select(F.col("id").alias("row_id"))
 
 
+def p3_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New and repeated rows of each batch and field."""
+    rows = load(spark, sf_dir, "curation_rows")
+    cases = history.repeated_rows(rows).select(F.col("id").alias("row_id"), F.lit(True).alias("repeated"))
+    joined = rows.select("row_id", "batch_no", "artifact_field").join(cases, "row_id", "left")
+    return joined.groupBy("batch_no", "artifact_field").agg(F.count("*").alias("rows"), F.count("repeated").alias("repeated"))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = overlap.cross_split_pairs(load(spark, sf_dir, "split_records"))
     return pairs.select(F.least("evaluation", "training").alias("record_a"), F.greatest("evaluation", "training").alias("record_b"))
 
 
+def p5_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evaluation records that overlap with training, and their pairs, by split, source and kind of match."""
+    rows = load(spark, sf_dir, "split_records")
+    pairs = overlap.cross_split_pairs(rows).withColumnRenamed("evaluation", "record_id")
+    named = rows.select("record_id", "split_field", mixing.source_key(F.col("source")).alias("source_name"))
+    return pairs.join(named, "record_id").groupBy("split_field", "source_name", "how").agg(F.count("*").alias("pairs"), F.count_distinct("record_id").alias("records"))
+
+
 def p7_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"))
 
@@ -58,7 +74,7 @@ def p9_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.join(readability.reading_levels(docs), "doc_id").groupBy("source_name").agg(F.count("*").alias("documents"), F.count("level").alias("graded"), F.avg("level").alias("mean_level"), F.percentile_approx("level", [0.1, 0.5, 0.9]).alias("level_deciles"))
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p5_found": p5_found, "p7_pack": p7_pack, "p7_fill": p7_fill, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_found": p9_found, "p9_levels": p9_levels, "p9_profile": p9_profile}
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p3_report": p3_report, "p5_found": p5_found, "p5_report": p5_report, "p7_pack": p7_pack, "p7_fill": p7_fill, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_found": p9_found, "p9_levels": p9_levels, "p9_profile": p9_profile}
 P5 = r"""
 with r as (select record_id, split_field in ('training_csv', 'combined_training_json') train, question,
     coalesce(regexp_replace(input_path, '^\s+|\s+$', '', 'g'), '') a, coalesce(regexp_replace(golden_path, '^\s+|\s+$', '', 'g'), '') b, coalesce(regexp_replace(label, '^\s+|\s+$', '', 'g'), '') c, coalesce(regexp_replace(object_name, '^\s+|\s+$', '', 'g'), '') d
