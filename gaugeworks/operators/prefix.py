@@ -1,9 +1,10 @@
-"""Prefix sums over a total order, without a single-partition window."""
+"""Prefix sums, and neighbours in an order, without a window whose groups must fit one task."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gaugeworks.session import materialize
 
@@ -32,3 +33,58 @@ def prefix_sums(df: DataFrame, order: list, sums: dict[str, Column]) -> DataFram
     for k in sums:
         joined = joined.withColumn(k, F.col(f"_o_{k}") + F.coalesce(F.sum(f"_v_{k}").over(before), F.lit(0)))
     return joined.drop("_part", *(f"_v_{k}" for k in sums), *(f"_o_{k}" for k in sums))
+
+
+def _ranged(df: DataFrame, order: list) -> DataFrame:
+    """``df`` range-partitioned by ``order`` and written, with the partition of each row as ``_part``."""
+    n = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return materialize(df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()))
+
+
+def _same_group(by: list[str], other: str) -> Column:
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"{other}.{c}"))
+    return same
+
+
+def with_previous(df: DataFrame, by: list[str], order: list[str], columns: list[str], prefix: str = "prev_") -> DataFrame:
+    """``df`` with ``<prefix><column>`` of the row before in its group, and ``<prefix>row``: whether there is one.
+
+    Like ``lag``, but a group may span partitions: only the last row of each range
+    partition is carried to the next, so a group of any size is shared out. Nulls sort first."""
+    keys = list(dict.fromkeys([*by, *order]))
+    ranged = _ranged(df, keys)
+    row = F.struct(*keys, *(c for c in columns if c not in keys))
+    ends = sorted(ranged.groupBy("_part").agg(F.max(row).alias("last")).collect(), key=lambda r: r["_part"])
+    kind = ranged.select(row.alias("last")).schema["last"].dataType
+    carried = [(b["_part"], a["last"]) for a, b in zip(ends, ends[1:])]
+    carry = df.sparkSession.createDataFrame(carried, T.StructType([T.StructField("_part", T.IntegerType()), T.StructField("_carry", kind)]))
+    w = Window.partitionBy("_part").orderBy(*keys)
+    out = ranged.join(F.broadcast(carry), "_part", "left").withColumn("_prev", F.coalesce(F.lag(row).over(w), F.col("_carry")))
+    out = out.withColumn("_prev", F.when(_same_group(by, "_prev"), F.col("_prev")))
+    return out.select(*df.columns, *(F.col(f"_prev.{c}").alias(prefix + c) for c in columns), F.col("_prev").isNotNull().alias(f"{prefix}row"))
+
+
+def with_next_known(df: DataFrame, by: list[str], order: list[str], value: str, name: str) -> DataFrame:
+    """``df`` with ``name``: the first ``value`` that isn't null in this row or after it in its group.
+
+    A window within each range partition, and one value a partition carried back over partitions."""
+    keys = list(dict.fromkeys([*by, *order]))
+    ranged = _ranged(df, keys)
+    group = F.struct(*by)
+    known = F.struct(group.alias("group"), F.struct(*keys).alias("at"), F.col(value).alias("value"))
+    parts = sorted(ranged.groupBy("_part").agg(F.min(group).alias("first"), F.max(group).alias("last"), F.min(F.when(F.col(value).isNotNull(), known)).alias("known")).collect(), key=lambda r: r["_part"])
+    carried, reach = [], None  # reach: (group, value) that the partitions before this one see next
+    for p in reversed(parts):
+        carried.append((p["_part"], reach[0], reach[1]) if reach and reach[0] == p["last"] else (p["_part"], None, None))
+        if p["known"] is not None and p["known"]["group"] == p["first"]:
+            reach = (p["first"], p["known"]["value"])
+        elif not (reach and reach[0] == p["first"] == p["last"]):
+            reach = None
+    schema = T.StructType([T.StructField("_part", T.IntegerType()), T.StructField("_group", ranged.select(group.alias("g")).schema["g"].dataType), T.StructField("_after", ranged.schema[value].dataType)])
+    carry = df.sparkSession.createDataFrame(carried, schema)
+    w = Window.partitionBy("_part", *by).orderBy(*keys).rowsBetween(0, Window.unboundedFollowing)
+    after = F.when(group == F.col("_group"), F.col("_after"))
+    out = ranged.join(F.broadcast(carry), "_part", "left").withColumn(name, F.coalesce(F.first(value, ignorenulls=True).over(w), after))
+    return out.select(*df.columns, name)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeworks.functions.paths import strip_blank
+from gaugeworks.operators.prefix import prefix_sums, with_next_known, with_previous
 
 # fixed values: what may follow each stage of an iteration, in the two pipelines
 EDGES_1 = {
@@ -37,9 +38,8 @@ def attribute(messages: DataFrame, stages: DataFrame, by: list[str], time: str =
     Both sides are put in one order of time and the next stage is carried back, so it's a sort and no range join."""
     m = messages.withColumn("_stage", F.lit(None).cast(stages.schema[stage].dataType))
     s = stages.select(*by, time, F.col(stage).alias("_stage"))
-    both = m.withColumn("_m", F.lit(True)).unionByName(s.withColumn("_m", F.lit(False)), allowMissingColumns=True)
-    w = Window.partitionBy(*by).orderBy(F.col(time).asc(), F.when(F.col("_m"), 0).otherwise(1), F.col("_stage")).rowsBetween(0, Window.unboundedFollowing)
-    return both.withColumn(stage, F.first("_stage", ignorenulls=True).over(w)).where("_m").drop("_m", "_stage")
+    both = m.withColumn("_m", F.lit(0)).unionByName(s.withColumn("_m", F.lit(1)), allowMissingColumns=True)  # at one time messages come first
+    return with_next_known(both, by, [time, "_m", "_stage"], "_stage", stage).where("_m = 0").drop("_m", "_stage")
 
 
 def usage_per_stage(attributed: DataFrame, stages: DataFrame, by: list[str], stage: str = "stage_id", time: str = "ts", tokens: str = "tokens", model: str = "model") -> DataFrame:
@@ -53,9 +53,16 @@ def sequence_gaps(log: DataFrame, by: list[str], seq: str = "seq", resync: bool
     """Rows whose ``seq`` isn't one more than the row before (1 for the first): with ``expected``.
 
     Without ``resync`` the count goes on from the start, so one gap marks every later row."""
-    w = Window.partitionBy(*by).orderBy(seq, *(["log_id"] if "log_id" in log.columns else []))
-    want = F.coalesce(F.lag(seq).over(w) + 1, F.lit(1)) if resync else F.row_number().over(w)
-    return log.withColumn("expected", want).where(F.col(seq) != F.col("expected"))
+    order = [seq, *(["log_id"] if "log_id" in log.columns else [])]
+    if resync:
+        with_seq = with_previous(log, by, order, [seq])
+        numbered = with_seq.withColumn("expected", F.coalesce(F.col(f"prev_{seq}") + 1, F.lit(1))).drop(f"prev_{seq}", "prev_row")
+    else:
+        ranked = prefix_sums(log, [*by, *order], {"_n": F.lit(1).cast("long")})
+        first = ranked.groupBy(*(F.col(c).alias(f"_{c}") for c in by)).agg(F.min("_n").alias("_first"))
+        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
+        numbered = ranked.join(first, same).withColumn("expected", F.col("_n") - F.col("_first") + 1).select(*log.columns, "expected")
+    return numbered.where(F.col(seq) != F.col("expected"))
 
 
 def legal_steps(edges: dict, two_level: bool) -> list[tuple[str | None, str, str, int]]:
@@ -70,9 +77,7 @@ def transitions(log: DataFrame, by: list[str], edges: dict | None = None) -> Dat
     After an error only ``loop_stop`` of the same iteration may follow, after ``loop_stop`` nothing."""
     two_level = edges is None
     steps = legal_steps(EDGES_1 if edges is None else edges, two_level)
-    w = Window.partitionBy(*by).orderBy("seq", "log_id")
-    n = iteration_number(F.col("iter"))
-    e = log.withColumns({"n": n, "prev_stage": F.lag("stage").over(w), "prev_status": F.lag("status").over(w), "prev_n": F.lag(n).over(w), "first": F.row_number().over(w) == 1})
+    e = with_previous(log.withColumn("n", iteration_number(F.col("iter"))), by, ["seq", "log_id"], ["stage", "status", "n"])
     step = F.col("n") - F.col("prev_n")
     legal = F.lit(False)
     for kind, a, b, move in steps:
@@ -82,13 +87,12 @@ def transitions(log: DataFrame, by: list[str], edges: dict | None = None) -> Dat
         legal = legal | here
     after_error = (F.col("stage") == "loop_stop") & (step == 0)
     legal = F.when(F.col("prev_stage") == "loop_stop", F.lit(False)).when(F.col("prev_status") == "error", after_error).otherwise(legal)
-    return e.withColumn("legal", F.when(~F.col("first"), F.coalesce(legal, F.lit(False)))).drop("first")
+    return e.withColumn("legal", F.when(F.col("prev_row"), F.coalesce(legal, F.lit(False)))).drop("prev_row")
 
 
 def continued_after_stop(log: DataFrame, passed: DataFrame, by: list[str], pairs: tuple[tuple[str, str], ...]) -> DataFrame:
     """Adjacent events of ``pairs`` in runs and iterations that had already passed (``by, n``)."""
-    w = Window.partitionBy(*by).orderBy("seq", "log_id")
-    e = log.withColumns({"prev_stage": F.lag("stage").over(w), "n": F.lag(iteration_number(F.col("iter"))).over(w)})
+    e = with_previous(log.withColumn("_n", iteration_number(F.col("iter"))), by, ["seq", "log_id"], ["stage", "_n"]).withColumn("n", F.col("prev__n"))
     hit = F.lit(False)
     for a, b in pairs:
         hit = hit | ((F.col("prev_stage") == a) & (F.col("stage") == b))
@@ -133,8 +137,8 @@ def against_first(values: DataFrame, by: list[str], order: str, value: str, bett
 
 def yield_drops(kept: DataFrame, by: list[str], order: str, n: str, least: float = 0.5) -> DataFrame:
     """Rows that kept less than ``least`` of what the row before kept."""
-    w = Window.partitionBy(*by).orderBy(order)
-    return kept.withColumn("before", F.lag(n).over(w)).where(F.col(n) < F.lit(least) * F.col("before"))
+    before = with_previous(kept, by, [order], [n]).withColumnRenamed(f"prev_{n}", "before").drop("prev_row")
+    return before.where(F.col(n) < F.lit(least) * F.col("before"))
 
 
 def state_against_log(states: DataFrame, log: DataFrame, key: list[str]) -> DataFrame:

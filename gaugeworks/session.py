@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 import tempfile
 import uuid
 import zipfile
@@ -13,16 +14,26 @@ from pyspark.sql import DataFrame, SparkSession
 _shipped: set[str] = set()
 
 
+def _file_system(spark: SparkSession, name: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def ship(spark: SparkSession) -> None:
-    """Give the executors' Python workers this package, once for each application."""
+    """Give the executors' Python workers this package, through the shared folder, once for each application."""
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
     root = Path(__file__).resolve().parent
-    name = f"{tempfile.mkdtemp(prefix='gaugeworks-')}/gaugeworks.zip"
-    with zipfile.ZipFile(name, "w") as z:
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w") as z:
         for p in sorted(root.rglob("*.py")):
             z.write(p, p.relative_to(root.parent))
+    name = f"{shared_dir(spark)}/gaugeworks/{app}/gaugeworks.zip"
+    path, fs = _file_system(spark, name)
+    out = fs.create(path, True)
+    out.write(bytearray(held.getvalue()))
+    out.close()
     spark.sparkContext.addPyFile(name)
     _shipped.add(app)
 
@@ -56,9 +67,16 @@ def materialize(df: DataFrame) -> DataFrame:
 
 def release(df: DataFrame) -> None:
     """Delete the table behind a frame made by :func:`materialize` once nothing reads it any more."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
     for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
         if "/gaugeworks/" in name:
-            path = jvm.org.apache.hadoop.fs.Path(name)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            path, fs = _file_system(df.sparkSession, name)
+            fs.delete(path, True)
+
+
+def release_all(spark: SparkSession) -> None:
+    """Delete every table written by :func:`materialize`; frames that read them are void afterwards."""
+    path, fs = _file_system(spark, f"{shared_dir(spark)}/gaugeworks")
+    if fs.exists(path):
+        for x in fs.listStatus(path):
+            if x.getPath().getName() != spark.sparkContext.applicationId:
+                fs.delete(x.getPath(), True)

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from gaugeworks.functions import labels, numbers, paths
 from gaugeworks.operators import dataset, evaluation, gaps, quality, runlog, similarity, thresholds
-from gaugeworks.operators.prefix import prefix_sums
-from gaugeworks.session import materialize, release
+from gaugeworks.operators.prefix import prefix_sums, with_next_known, with_previous
+from gaugeworks.session import materialize, release, release_all
 
 
 def test_prefix_sums(spark):
@@ -23,12 +23,33 @@ def test_prefix_sums(spark):
     assert prefix_sums(df.limit(0), ["i"], {"before": F.col("v")}).count() == 0
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_neighbours_across_partitions(spark, seed):
+    """Groups that span many partitions, fit one, or hold no known value."""
+    rng = random.Random(seed)
+    groups = ["hot"] * 12 + ["a", "b", None, "c"]
+    rows = [(rng.choice(groups), i, rng.choice([None] * (seed * 10 + 1) + [i])) for i in range(400)]
+    df = spark.createDataFrame(rng.sample(rows, len(rows)), "g string, o int, v int")
+    prev = {r["o"]: (r["prev_v"], r["prev_row"]) for r in with_previous(df, ["g"], ["o"], ["v"]).collect()}
+    known = {r["o"]: r["nx"] for r in with_next_known(df, ["g"], ["o"], "v", "nx").collect()}
+    for g in set(groups):
+        mine = [(o, v) for gg, o, v in rows if gg == g]
+        for i, (o, _) in enumerate(mine):
+            assert prev[o] == ((mine[i - 1][1], True) if i else (None, False))
+            assert known[o] == next((v for _, v in mine[i:] if v is not None), None)
+    assert with_previous(df.limit(0), ["g"], ["o"], ["v"]).count() == with_next_known(df.limit(0), ["g"], ["o"], "v", "nx").count() == 0
+
+
 def test_materialized_tables_go_away(spark):
     df = materialize(spark.range(5))
     assert df.count() == 5
     release(df)
     with pytest.raises(Exception):
         spark.read.parquet(df.inputFiles()[0]).count()
+    other = materialize(spark.range(5)).inputFiles()[0]
+    release_all(spark)
+    with pytest.raises(Exception):
+        spark.read.parquet(other).count()
 
 
 @pytest.mark.parametrize("seed", [1, 2])
