@@ -122,6 +122,6 @@ class SegmentHistory:
         cases = materialize(rows.join(accepted, ["id", "batch"], "left_anti").select("id", "batch"))
         kept = accepted.where("set_id is not null").select(F.col("set_id").alias("id")).distinct()
         accepted.select("path", "set_id").write.mode("append").parquet(f"{self.path}/rows")
-        mine.join(kept, "id", "left_semi").dropDuplicates(["key", "id"]).select("key", "id", "size", "sketch").write.mode("append").parquet(f"{self.path}/segments")
+        mine.join(kept, "id", "left_semi").dropDuplicates(["key", "id"]).select(*mine.columns).write.mode("append").parquet(f"{self.path}/segments")
         known.join(kept, "id", "left_semi").write.mode("append").parquet(f"{self.path}/sets")
         return cases

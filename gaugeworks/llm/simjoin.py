@@ -6,7 +6,7 @@ sequences is the size of their symmetric difference, so Jaccard >= t is a bounde
 edit distance: at most (1 - t) / (1 + t) of the two lengths together.
 
 At most k = n - ceil(t * n) tokens of a sequence of length n may be missing in any
-partner. Cut into k + 1 segments - the k rarest tokens one by one and the tail, known
+partner, and fewer in one that isn't smaller. Cut into k + 1 segments - the k rarest tokens one by one and the tail, known
 by its head - one segment survives in every partner (pigeonhole), and it stands among
 the partner's own k + 1. So each set stores its k + 1 segments; two sets meet where
 they share one. A segment whose token is frequent is stored with each following
@@ -38,7 +38,7 @@ HOT = 3000
 FILTER_BITS = 24
 SEEN = 1 << 20
 EPS = 1e-9
-SEGMENTS = "key long, id long, size int, sketch long"
+SEGMENTS = "key long, id long, size int, sketch long, lead boolean"
 
 
 def frequencies(df: DataFrame, text: str, shingle: int) -> np.ndarray:
@@ -63,8 +63,8 @@ def need(t: float, n: np.ndarray) -> np.ndarray:
     return np.ceil(t * n - EPS).astype(np.int64)
 
 
-def _segments(h: np.ndarray, r: np.ndarray, n_rows: int, freq: np.ndarray, t: float) -> tuple[np.ndarray, np.ndarray]:
-    """Segment keys and the row of each."""
+def _segments(h: np.ndarray, r: np.ndarray, n_rows: int, freq: np.ndarray, t: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of distinct tokens ordered by row and hash: segment keys, the row of each, and whether it's among those needed towards partners of the same size or larger."""
     f = freq[(h >> np.uint64(64 - BITS)).astype(np.int64)]
     order = np.lexsort((h, f, r))
     h, r, f = h[order], r[order], f[order]
@@ -72,10 +72,11 @@ def _segments(h: np.ndarray, r: np.ndarray, n_rows: int, freq: np.ndarray, t: fl
     start = np.cumsum(sizes) - sizes
     place = np.arange(len(h)) - start[r]
     k1 = (sizes - need(t, sizes) + 1)[r]
-    lead = (place < k1) & (sizes[r] > 1)
-    cool = lead & (f <= HOT)
-    keys, rows = [h[cool]], [r[cool]]
-    hot = np.flatnonzero(lead & (f > HOT))
+    k0 = (sizes - need(2 * t / (1 + t), sizes) + 1)[r]
+    head = (place < k1) & (sizes[r] > 1)
+    cool = head & (f <= HOT)
+    keys, rows, lead = [h[cool]], [r[cool]], [(place < k0)[cool]]
+    hot = np.flatnonzero(head & (f > HOT))
     step = 1
     while len(hot):
         other = hot + step
@@ -83,12 +84,13 @@ def _segments(h: np.ndarray, r: np.ndarray, n_rows: int, freq: np.ndarray, t: fl
         hot, other = hot[other < last], other[other < last]
         keys.append(mix(h[hot] * _MULT + h[other]))
         rows.append(r[hot])
+        lead.append((place[hot] < k0[hot]) & (place[other] < k0[hot] + 1))
         step += 1
-    return np.concatenate(keys), np.concatenate(rows)
+    return np.concatenate(keys), np.concatenate(rows), np.concatenate(lead)
 
 
 def segments(df: DataFrame, text: str, shingle: int, t: float, freq: np.ndarray) -> DataFrame:
-    """``key, id, size, sketch``: the stored segments of each distinct set."""
+    """``key, id, size, sketch, lead``: the stored segments of each distinct set."""
     shared = df.sparkSession.sparkContext.broadcast(freq)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,10 +113,10 @@ def segments(df: DataFrame, text: str, shingle: int, t: float, freq: np.ndarray)
             sketch = np.zeros(n, np.uint64)
             first = np.flatnonzero(np.r_[True, r[1:] != r[:-1]])
             sketch[r[first]] = np.bitwise_xor.reduceat(np.uint64(1) << (h & np.uint64(63)), first)
-            keys, rows = _segments(h, r, n, table, t)
+            keys, rows, lead = _segments(h, r, n, table, t)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.view(np.int64)), pa.array(ids[rows].view(np.int64)), pa.array(sizes[rows].astype(np.int32)), pa.array(sketch[rows].view(np.int64))],
-                names=["key", "id", "size", "sketch"],
+                [pa.array(keys.view(np.int64)), pa.array(ids[rows].view(np.int64)), pa.array(sizes[rows].astype(np.int32)), pa.array(sketch[rows].view(np.int64)), pa.array(lead)],
+                names=["key", "id", "size", "sketch", "lead"],
             )
 
     return df.select(text).mapInArrow(emit, SEGMENTS)
@@ -128,17 +130,26 @@ def candidates(stored: DataFrame, t: float, other: DataFrame | None = None) -> D
     """``id_a, id_b``: sets that share a segment and pass the length and sketch bounds.
 
     Within ``stored`` each pair once, id_a < id_b; or id_a of ``stored`` and id_b of
-    ``other``, a set that stands on both sides not being paired with itself."""
+    ``other``, a set that stands on both sides not being paired with itself. Of the smaller
+    set the leading segments are enough."""
 
     def once(x: DataFrame, end: str) -> DataFrame:
-        return x.repartition("key").dropDuplicates(["key", "id"]).select("key", *(F.col(c).alias(c + end) for c in ("id", "size", "sketch")))
+        first = [F.first(c).alias(c + end) for c in ("size", "sketch")]
+        return x.repartition("key").groupBy("key", F.col("id").alias("id" + end)).agg(*first, F.max("lead").alias("lead" + end))
 
     a, b = once(stored, "_a"), once(stored if other is None else other, "_b")
-    which = F.col("id_a") < F.col("id_b") if other is None else F.col("id_a") != F.col("id_b")
+    smaller = F.col("lead_a") & (F.col("size_a") <= F.col("size_b"))
+    if other is None:
+        a, b = a.where("lead_a"), b.where("lead_b is not null")  # both sides read the same columns, so they share one exchange
+    else:
+        smaller = smaller | F.col("lead_b") & (F.col("size_b") <= F.col("size_a"))
     total = F.col("size_a") + F.col("size_b")
     bound = total - 2 * overlap_needed(t, F.col("size_a"), F.col("size_b"))
     fits = (F.least("size_a", "size_b") >= F.lit(t) * F.greatest("size_a", "size_b") - EPS) & (F.bit_count(F.col("sketch_a").bitwiseXOR(F.col("sketch_b"))) <= bound)
-    return a.join(b, "key").where(which & fits).select("id_a", "id_b").distinct()
+    met = a.join(b, "key").where((F.col("id_a") != F.col("id_b")) & smaller & fits)
+    if other is None:
+        met = met.select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"))
+    return met.select("id_a", "id_b").distinct()
 
 
 def _in_filter(ids: DataFrame) -> np.ndarray:
