@@ -65,8 +65,12 @@ def need(t: float, n: np.ndarray) -> np.ndarray:
 
 def _segments(h: np.ndarray, r: np.ndarray, n_rows: int, freq: np.ndarray, t: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of distinct tokens ordered by row and hash: segment keys, the row of each, and whether it's among those needed towards partners of the same size or larger."""
-    f = freq[(h >> np.uint64(64 - BITS)).astype(np.int64)]
-    order = np.lexsort((h, f, r))
+    f = np.minimum(freq[(h >> np.uint64(64 - BITS)).astype(np.int64)], (1 << 20) - 1)
+    if n_rows <= 1 << 14:  # h is ordered within each row, and a stable sort leaves it so among ties
+        key = (r.astype(np.uint64) << np.uint64(50)) | (f.astype(np.uint64) << np.uint64(30)) | (h >> np.uint64(34))
+        order = np.argsort(key, kind="stable")
+    else:
+        order = np.lexsort((h, f, r))
     h, r, f = h[order], r[order], f[order]
     sizes = np.bincount(r, minlength=n_rows)
     start = np.cumsum(sizes) - sizes

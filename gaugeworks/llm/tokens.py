@@ -74,9 +74,20 @@ def shingles(hashes: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray,
     return mix(out[same]), rows[:n][same]
 
 
+def _by_row_and_hash(hashes: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The order by row, then hash: one sort of a single key where rows fit it."""
+    if len(rows) and rows.max() < 1 << 14:
+        key = (rows.astype(np.uint64) << np.uint64(50)) | (hashes >> np.uint64(14))
+        order = np.argsort(key, kind="stable")
+        k, h = key[order], hashes[order]
+        if not ((k[1:] == k[:-1]) & (h[1:] != h[:-1])).any():  # else the key is too short for two of the hashes
+            return order
+    return np.lexsort((hashes, rows))
+
+
 def distinct(hashes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Each hash once a row, ordered by row, then hash."""
-    order = np.lexsort((hashes, rows))
+    order = _by_row_and_hash(hashes, rows)
     h, r = hashes[order], rows[order]
     keep = np.ones(len(h), bool)
     keep[1:] = (h[1:] != h[:-1]) | (r[1:] != r[:-1])

@@ -187,3 +187,10 @@ def test_overlap(spark):
     got = {(r["evaluation"], r["training"]): r["how"] for r in overlap.cross_split_pairs(df).collect()}
     assert got == brute_pairs(rows)
     assert overlap.cross_split_pairs(df.limit(0)).count() == 0
+
+
+def test_short_keys_and_many_rows_fall_back():
+    h = np.array([5, (1 << 13) + 5, 5, 7, 7], np.uint64)
+    for r in (np.zeros(5, np.int64), np.array([0, 0, 0, 1 << 15, 1 << 15])):
+        got = tokens.distinct(h, r)
+        assert list(zip(got[1].tolist(), got[0].tolist())) == sorted({(int(b), int(a)) for a, b in zip(h, r)})
