@@ -68,3 +68,16 @@ def pair_image(root: str, input_path: Column, object_name: Column, light: Column
     p = slashes(input_path)
     whole = F.concat(F.lit(root.rstrip("/") + "/"), p)
     return F.when(F.lower(p).rlike(r"\.(?:jpe?g|png|bmp)$"), whole).otherwise(F.concat(whole, F.lit("/"), object_name, F.lit("_"), light, F.lit(ext)))
+
+
+def collapse(col: Column, light: str = "SolderLight", ext: str = ".jpg") -> tuple[Column, Column]:
+    """Directory and object name of an image path: its name without ``_light.ext``; null name for other files."""
+    p = slashes(col)
+    folder = F.regexp_replace(p, r"/?[^/]*$", "")
+    ending = f"_{light}{ext}"
+    return folder, F.when(F.endswith(p, F.lit(ending)), F.substring(basename(col), F.lit(1), F.length(basename(col)) - len(ending)))
+
+
+def prefixed_once(col: Column, prefix: str) -> Column:
+    """With ``prefix`` before it, unless it stands there already."""
+    return F.when(F.startswith(col, F.lit(prefix)), col).otherwise(F.concat(F.lit(prefix), col))

@@ -31,6 +31,19 @@ def raise_if_any(violations: DataFrame, show: int = 5) -> None:
         raise Violations(f"{violations.count()} violations, such as " + "; ".join(f"{r['rule']} {r['key']}: {r['detail']}" for r in first))
 
 
+def first_offenders(violations: DataFrame, n: int = 5) -> DataFrame:
+    """The first ``n`` of each rule by key, with how many there are in all."""
+    w = Window.partitionBy("rule").orderBy("key", "detail")
+    first = violations.withColumn("place", F.row_number().over(w)).where(F.col("place") <= n)
+    return first.join(F.broadcast(violations.groupBy("rule").agg(F.count("*").alias("total"))), "rule")  # one row a rule
+
+
+def required_fields(df: DataFrame, key: str, fields: list[str], order: list[str], n: int) -> DataFrame:
+    """Null required fields among the first ``n`` records."""
+    first = df.orderBy(*order).limit(n)
+    return all_of(*(violation(first.where(F.col(f).isNull()), "null_field", F.col(key), F.lit(f)) for f in fields))
+
+
 def label_spelling(df: DataFrame, key: str, label: str) -> DataFrame:
     """Labels that aren't in their canonical spelling, and blank ones."""
     blank = F.coalesce(strip_blank(F.col(label)), F.lit("")) == ""

@@ -42,11 +42,23 @@ def attribute(messages: DataFrame, stages: DataFrame, by: list[str], time: str =
     return with_next_known(both, by, [time, "_m", "_stage"], "_stage", stage).where("_m = 0").drop("_m", "_stage")
 
 
-def usage_per_stage(attributed: DataFrame, stages: DataFrame, by: list[str], stage: str = "stage_id", time: str = "ts", tokens: str = "tokens", model: str = "model") -> DataFrame:
-    """Messages, token sum, last context size and distinct models of every stage; stages without a message have zeros."""
-    a = attributed.where(F.col(stage).isNotNull()).groupBy(*by, stage).agg(F.count("*").alias("messages"), F.sum(tokens).alias("token_sum"), F.max_by(tokens, time).alias("context_end"), F.count_distinct(model).alias("models"))
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
-    return stages.select(*by, stage).join(a, [*by, stage], "left").select(*by, stage, zero("messages"), zero("token_sum"), zero("context_end"), zero("models"))
+#: Token counts of a message.
+USAGE = ("input_tokens", "output_tokens", "cache_read", "cache_create", "create_5m", "create_1h")
+
+
+def usage_per_stage(attributed: DataFrame, stages: DataFrame, by: list[str], stage: str = "stage_id", time: str = "ts", model: str = "model") -> DataFrame:
+    """Of every stage: messages, the sum of each count of ``USAGE``, ``context_end`` (what the last message read) and ``models`` in the order first seen.
+
+    Where cache creation isn't broken down, all of it counts as ``create_5m``. A stage without a message has zeros and no model."""
+    n = lambda c: F.coalesce(F.col(c), F.lit(0))
+    whole = (n("cache_create") > 0) & (n("create_5m") == 0) & (n("create_1h") == 0)
+    a = attributed.where(F.col(stage).isNotNull()).withColumns({"create_5m": F.when(whole, n("cache_create")).otherwise(n("create_5m")), "_context": n("input_tokens") + n("cache_read") + n("cache_create")})
+    sums = [F.sum(n(c)).alias(c) for c in USAGE]
+    each = a.groupBy(*by, stage, model).agg(F.count("*").alias("messages"), F.min(time).alias("_first"), F.max(F.struct(F.col(time), F.col("_context"))).alias("_last"), *sums)
+    seen = F.transform(F.array_sort(F.collect_list(F.when(F.col(model).isNotNull(), F.struct("_first", F.col(model).alias("m"))))), lambda x: x["m"])
+    used = each.groupBy(*by, stage).agg(F.sum("messages").alias("messages"), F.max("_last")["_context"].alias("context_end"), seen.alias("models"), *(F.sum(c).alias(c) for c in USAGE))
+    zero = [n(c).alias(c) for c in ("messages", "context_end", *USAGE)]
+    return stages.select(*by, stage).join(used, [*by, stage], "left").select(*by, stage, *zero, F.coalesce("models", F.array().cast("array<string>")).alias("models"))
 
 
 def sequence_gaps(log: DataFrame, by: list[str], seq: str = "seq", resync: bool = True) -> DataFrame:
@@ -99,6 +111,16 @@ def continued_after_stop(log: DataFrame, passed: DataFrame, by: list[str], pairs
     return e.where(hit).join(passed, [*by, "n"], "left_semi")
 
 
+def skipped_without_evidence(log: DataFrame, by: list[str], stage: str, evidence: DataFrame) -> DataFrame:
+    """Iterations after the first that never ran ``stage`` although the iteration before had something for it.
+
+    ``evidence`` has ``by, n, items``: how many items iteration n handed on. Iterations count from the log."""
+    n = iteration_number(F.col("iter"))
+    ran = log.withColumn("n", n).where("n > 0").groupBy(*by, "n").agg(F.count_if(F.col("stage") == stage).alias("times"))
+    handed = evidence.select(*by, (F.col("n") + 1).alias("n"), "items")
+    return ran.where("times = 0").join(handed, [*by, "n"]).where("items > 0").select(*by, "n", "items")
+
+
 def last_ok_stage(log: DataFrame, by: list[str]) -> DataFrame:
     return log.where((F.col("status") == "ok") & (F.col("stage") != "loop_stop")).groupBy(*by).agg(F.max_by("stage", F.struct("seq", "log_id")).alias("last_ok"))
 

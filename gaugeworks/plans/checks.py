@@ -20,6 +20,16 @@ def _(t):
     return q.label_spelling(t("split_records"), "record_id", "label")
 
 
+@add("limit_errors_5", f"with s as (select record_id::varchar \"key\", coalesce(label, '') detail from split_records where coalesce({_BLANKLESS.format(c='label')}, '') = '') select 'blank_label' rule, \"key\", detail, place, total from (select *, row_number() over (order by \"key\", detail) place, count(*) over () total from s) where place <= 5")
+def _(t):
+    return q.first_offenders(q.label_spelling(t("split_records"), "record_id", "label").where("rule = 'blank_label'"))
+
+
+@add("limit_json_check", "with f as (select * from split_records order by added_at, record_id limit 200) select 'null_field' rule, record_id::varchar \"key\", 'label' detail from f where label is null union all select 'null_field', record_id::varchar, 'question' from f where question is null")
+def _(t):
+    return q.required_fields(t("split_records"), "record_id", ["label", "question"], ["added_at", "record_id"], 200)
+
+
 _P = f"translate({_BLANKLESS.format(c='filepath')}, '\\', '/')"
 
 

@@ -121,7 +121,7 @@ def _(t):
     return readers.read_annotations(t.spark, written(t, "orders", "csv"), kind="csv").agg(F.count("*").alias("n"))
 
 
-@add("scan_dir_pairs", "select 'part' side, 1 n where false union all select 'paired', 4 union all select 'unpaired', 1")
+@add("join_dir_pairs_inner", "select 'part' side, 1 n where false union all select 'paired', 4 union all select 'unpaired', 1")
 def _(t):
     a, b = t.scratch("a"), t.scratch("b")
     for i, name in enumerate(("region", "nation", "customer", "supplier", "part")):
@@ -257,4 +257,26 @@ def _(t):
     return back.agg(F.lit(",".join(sorted(back.columns))).alias("columns"), F.count("*").cast("int").alias("n"))
 
 
+@add("scan_dir_pairs", "select 4 paired")
+def _(t):
+    return M.queries["join_dir_pairs_inner"](t.spark, t.sf_dir).where("side = 'paired'").select(F.col("n").alias("paired"))
+
+
+@add("sink_atomic_record", "select 2 \"rows\", true first, false again")
+def _(t):
+    path = t.scratch("job.json")
+    done = [sinks.write_record(t.spark, path, {"state": s}, create) for s, create in (("new", True), ("other", True), ("running", False))]
+    state = t.spark.read.schema("state string").json(path).first()["state"]
+    return t.spark.createDataFrame([(sum(done) if state == "running" else 0, done[0], done[1])], "rows int, first boolean, again boolean")
+
+
+@add("fn_file_sha256", "select r_regionkey, sha256(r_name || chr(10)) digest from region")
+def _(t):
+    root = t.scratch("frozen")
+    for r in t("region").select("r_regionkey", "r_name").collect():  # five rows, whatever the scale
+        t.spark.createDataFrame([(r["r_name"],)], "value string").coalesce(1).write.text(f"{root}/{r['r_regionkey']}")
+    files = readers.file_digests(t.spark, root, "part-*.txt")
+    return files.select(F.regexp_extract("path", r"/frozen/(\d+)/", 1).cast("int").alias("r_regionkey"), F.col("sha256").alias("digest"))
+
+
 QUERIES, ORACLE = M.queries, M.oracle

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gaugeworks.operators import runlog as rl
-from gaugeworks.plans.base import Module, rounded, with_rounded
+from gaugeworks.plans.base import Module, rounded
 
 M = Module()
 add = M.add
@@ -33,10 +33,15 @@ def _(t):
     return attributed(t)[0].select("event_id", "stage_id")
 
 
-@add("agg_token_usage", _ST + ", g as (select user_id, stage_id, count(*) messages, sum(value) token_sum, arg_max(value, ts) context_end, count(distinct event_type) models from a where stage_id is not null group by all) select user_id, stage_id, coalesce(messages, 0) messages, round(coalesce(token_sum, 0), 6) token_sum, round(coalesce(context_end, 0), 6) context_end, coalesce(models, 0) models from st left join g using (user_id, stage_id)")
+@add("agg_token_usage", _ST + """, u as (select *, (event_id % 90)::bigint i, (event_id % 7)::bigint o, (event_id % 50)::bigint r, (event_id % 3)::bigint c, case when event_id % 2 = 0 then (event_id % 3)::bigint else 0 end h from a where stage_id is not null),
+f as (select *, case when c > 0 and h = 0 then c else 0 end m from u), l as (select user_id, stage_id, list(event_type order by t) models from (select user_id, stage_id, event_type, min(ts) t from f group by all) group by all),
+g as (select user_id, stage_id, count(*) messages, arg_max(i + r + c, (ts, i + r + c)) context_end, sum(i)::bigint input_tokens, sum(o)::bigint output_tokens, sum(r)::bigint cache_read, sum(c)::bigint cache_create, sum(m)::bigint create_5m, sum(h)::bigint create_1h from f group by all)
+select user_id, stage_id, coalesce(messages, 0) messages, coalesce(context_end, 0) context_end, coalesce(input_tokens, 0) input_tokens, coalesce(output_tokens, 0) output_tokens, coalesce(cache_read, 0) cache_read, coalesce(cache_create, 0) cache_create, coalesce(create_5m, 0) create_5m, coalesce(create_1h, 0) create_1h, coalesce(array_to_string(models, ','), '') models from st left join g using (user_id, stage_id) left join l using (user_id, stage_id)""")
 def _(t):
     a, stages = attributed(t)
-    return with_rounded(rl.usage_per_stage(a, stages, ["user_id"], tokens="value", model="event_type"), "token_sum", "context_end")
+    e = F.col("event_id")
+    a = a.withColumns({"input_tokens": e % 90, "output_tokens": e % 7, "cache_read": e % 50, "cache_create": e % 3, "create_5m": F.lit(0).cast("long"), "create_1h": F.when(e % 2 == 0, e % 3).otherwise(0)})
+    return rl.usage_per_stage(a, stages, ["user_id"], model="event_type").withColumn("models", F.array_join("models", ","))
 
 
 @add("win_seq_gap", "select log_id, seq, expected from (select log_id, seq, coalesce(lag(seq) over w + 1, 1) expected from loop_log window w as (partition by run_id order by seq nulls first, log_id)) where seq <> expected")
@@ -77,6 +82,13 @@ def _(t):
     return rl.continued_after_stop(t("loop_log"), passed, ["run_id"], (("benchmark_metrics", "evaluate_proxy"), ("rca", "routing"))).select("log_id")
 
 
+@add("dq_skip_evidence", f"with l as (select run_id, {_N} n, count(*) filter (stage = 'anomalygen') times from loop_log where {_N} > 0 group by all), e as (select run_id, {_N} + 1 n, count(*) filter (inference_csv is not null) items from deft_iterations where {_N} is not null group by all) select run_id, n, items from l join e using (run_id, n) where times = 0 and items > 0")
+def _(t):
+    n = rl.iteration_number(F.col("iter"))
+    evidence = t("deft_iterations").withColumn("n", n).where("n is not null").groupBy("run_id", "n").agg(F.count("inference_csv").alias("items"))
+    return rl.skipped_without_evidence(t("loop_log"), ["run_id"], "anomalygen", evidence)
+
+
 @add("win_last_ok_stage", "select run_id, iter, stage last_ok from (select *, row_number() over (partition by run_id, iter order by seq desc nulls last, log_id desc) n from loop_log where status = 'ok' and stage <> 'loop_stop') where n = 1")
 def _(t):
     return rl.last_ok_stage(t("loop_log"), ["run_id", "iter"])

@@ -264,9 +264,20 @@ def _(t):
     return e.select(*(f.name for f in e.schema.fields if f.dataType.typeName() in ("long", "integer", "double", "float", "short", "byte", "decimal")))
 
 
-@add("fn_short_hash", "select c_custkey, left(sha256(c_name), 16) sample_id from customer")
+@add("fn_sha256_id", "select c_custkey, left(sha256(c_name), 16) sample_id from customer")
 def _(t):
     return t("customer").select("c_custkey", numbers.short_hash(F.col("c_name")).alias("sample_id"))
 
 
+@add("fn_file_dir_collapse", f"select row_id, regexp_replace({_SL}, '/?[^/]*$', '') folder, case when ends_with({_SL}, '_SolderLight.jpg') then regexp_replace(regexp_extract({_SL}, '([^/]*)$', 1), '_SolderLight\\.jpg$', '') end object_name from curation_rows")
+def _(t):
+    folder, name = paths.collapse(F.col("filepath"))
+    return t("curation_rows").select("row_id", folder.alias("folder"), name.alias("object_name"))
+
+
+@add("fn_prefix_once", "select vec_id, case when starts_with(filepath, 'kpi/images/') then filepath else 'kpi/images/' || filepath end path from mining_embeddings")
+def _(t):
+    return t("mining_embeddings").select("vec_id", paths.prefixed_once(paths.prefixed_once(F.col("filepath"), "kpi/images/"), "kpi/images/").alias("path"))
+
+
 QUERIES, ORACLE = M.queries, M.oracle

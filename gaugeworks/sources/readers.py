@@ -111,6 +111,12 @@ def paired_files(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFram
     return left.join(r, "name"), left.join(r, "name", "left_anti")
 
 
+def file_digests(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """``path, sha256`` of every file below a directory, to be held against frozen values; one file's content at a time is in memory."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
+    return files.select("path", F.sha2("content", 256).alias("sha256"))
+
+
 def kitti(lines: DataFrame, text: str, keep: list[str]) -> DataFrame:
     """``type, x0, y0, x1, y1`` of label lines of eight or more fields."""
     f = F.split(strip_blank(F.col(text)), r"\s+")

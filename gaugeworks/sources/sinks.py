@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,3 +56,21 @@ def append_log(spark: SparkSession, path: str, events: DataFrame, schema: str) -
     numbered = materialize(prefix_sums(events, ["ord"], {"seq": F.lit(1).cast("long")}).withColumn("seq", F.col("seq") + 1 + F.lit(last)).drop("ord"))
     numbered.write.mode("append").parquet(path)
     return last + numbered.count()
+
+
+def write_record(spark: SparkSession, path: str, record: dict, create: bool = False) -> bool:
+    """One JSON record, whole or not at all: written beside its place, then renamed. With ``create`` an existing record is left as it is, and False returned."""
+    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    target, part = fs_path(path), fs_path(f"{path}.{uuid.uuid4().hex}.part")
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if create and fs.exists(target):
+        return False
+    out = fs.create(part, True)
+    out.write(bytearray((json.dumps(record, sort_keys=True) + "\n").encode()))
+    out.close()
+    if not create and fs.exists(target):
+        fs.delete(target, False)
+    if not fs.rename(part, target):
+        fs.delete(part, False)
+        return False
+    return True
