@@ -17,9 +17,8 @@ def prefix_sums(df: DataFrame, order: list, sums: dict[str, Column]) -> DataFram
     row each, so as many as shuffle partitions - are added up on the driver; then each
     partition sums for itself. No task holds more than one range. An empty input gives
     no rows; null values count as 0."""
-    n = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     values = [F.coalesce(v, F.lit(0)).alias(f"_v_{k}") for k, v in sums.items()]
-    ranged = materialize(df.select("*", *values).repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()))
+    ranged = _ranged(df.select("*", *values), order)
     totals = sorted(ranged.groupBy("_part").agg(*(F.sum(f"_v_{k}").alias(k) for k in sums)).collect(), key=lambda r: r["_part"])
     run, rows = {k: 0 for k in sums}, []
     for r in totals:
@@ -36,9 +35,10 @@ def prefix_sums(df: DataFrame, order: list, sums: dict[str, Column]) -> DataFram
 
 
 def _ranged(df: DataFrame, order: list) -> DataFrame:
-    """``df`` range-partitioned by ``order`` and written, with the partition of each row as ``_part``."""
-    n = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return materialize(df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()))
+    """``df`` range-partitioned by ``order`` and written, with the partition of each row as ``_part``.
+
+    The number of partitions is left to the session; where they are small, neighbours are merged."""
+    return materialize(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
 
 
 def _same_group(by: list[str], other: str) -> Column:
