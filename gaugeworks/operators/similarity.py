@@ -6,8 +6,13 @@ ties go to the smaller source id."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gaugeworks.functions import numbers
 from gaugeworks.functions.paths import slashes
@@ -36,22 +41,91 @@ def target_source_pairs(targets: DataFrame, sources: DataFrame, on_label: bool =
     s = sources.select(F.col("id").alias("s_id"), F.col("vec").alias("s_vec"), F.col("label").alias("s_label"))
     if on_label:
         return t.join(s, F.col("t_label") == F.col("s_label"))
-    size = t.agg(F.count("*").alias("n"), F.max(F.size("t_vec")).alias("d")).first()
-    if (size["n"] or 0) * ((size["d"] or 0) * 8 + 64) <= BROADCAST_BYTES:
+    if _small(targets):
         return s.crossJoin(F.broadcast(t))
     t = t.withColumn("block", F.pmod(F.xxhash64("t_id"), F.lit(BLOCKS)))
     s = s.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(BLOCKS - 1).cast("long"))))
     return t.join(s, "block").drop("block")
 
 
+def _small(targets: DataFrame) -> bool:
+    size = targets.agg(F.count("*").alias("n"), F.max(F.size("vec")).alias("d")).first()
+    return (size["n"] or 0) * ((size["d"] or 0) * 8 + 64) <= BROADCAST_BYTES
+
+
+def _distances(metric: str, t: np.ndarray, s: np.ndarray) -> np.ndarray:
+    """Of all targets to all sources; NaN where there is none."""
+    if metric == "cosine":
+        with np.errstate(invalid="ignore", divide="ignore"):
+            t, s = t / np.linalg.norm(t, axis=1, keepdims=True), s / np.linalg.norm(s, axis=1, keepdims=True)
+        return 1 - np.clip(t @ s.T, -1, 1)
+    if metric == "euclidean":
+        square = (t * t).sum(1)[:, None] + (s * s).sum(1)[None, :] - 2 * (t @ s.T)
+        return np.sqrt(np.maximum(square, 0))
+    if metric == "manhattan":
+        return np.stack([np.abs(s - x).sum(1) for x in t]) if len(t) else np.empty((0, len(s)))
+    raise ValueError(f"no such metric: {metric}")
+
+
+def _scan(targets: DataFrame, sources: DataFrame, k: int, metric: str, most: float) -> DataFrame:
+    """The k nearest of each partition of the sources to each target, by block matrix products.
+
+    The targets, whose size the caller has checked, go to every worker; of the sources only
+    each partition's best leave it. Equal distances (to 12 digits) go to the smaller id."""
+    rows = targets.select("id", F.col("vec").cast("array<double>").alias("vec")).collect()
+    by_size: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for n in {len(r["vec"]) for r in rows}:
+        mine = [r for r in rows if len(r["vec"]) == n]
+        by_size[n] = np.array([r["id"] for r in mine], np.int64), np.array([r["vec"] for r in mine], np.float64)
+    shared = sources.sparkSession.sparkContext.broadcast(by_size)
+    label = sources.schema["label"].dataType
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[int, tuple] = {}
+        kind = pa.null()
+        for b in batches:
+            kind = b.schema.field(2).type
+            lengths = np.asarray(b.column(1).value_lengths())
+            for n, (_, t) in shared.value.items():
+                at = np.flatnonzero(lengths == n)
+                if not len(at):
+                    continue
+                take = pa.array(at)
+                s = np.asarray(b.column(1).take(take).flatten()).reshape(-1, n)
+                d = np.round(_distances(metric, t, s), 12)
+                d[~(d <= most)] = np.inf
+                limit = np.partition(d, min(k, d.shape[1]) - 1, axis=1)[:, min(k, d.shape[1]) - 1]
+                ti, si = np.nonzero((d <= limit[:, None]) & np.isfinite(d))
+                new = (ti, d[ti, si], np.asarray(b.column(0).take(take))[si], np.array(b.column(2).take(take).to_pylist(), object)[si])
+                old = kept.get(n)
+                both = new if old is None else tuple(np.concatenate(x) for x in zip(old, new))
+                order = np.lexsort((both[2], both[1], both[0]))
+                both = tuple(x[order] for x in both)
+                first = np.flatnonzero(np.r_[True, both[0][1:] != both[0][:-1]]) if len(order) else np.empty(0, int)
+                place = np.arange(len(order)) - np.repeat(first, np.diff(np.r_[first, len(order)]))
+                kept[n] = tuple(x[place < k] for x in both)
+        for n, (ti, d, si, labels) in kept.items():
+            yield pa.RecordBatch.from_arrays([pa.array(shared.value[n][0][ti]), pa.array(si), pa.array(labels.tolist(), kind), pa.array(d)], names=["t_id", "s_id", "s_label", "distance"])
+
+    out = T.StructType([T.StructField("t_id", T.LongType()), T.StructField("s_id", T.LongType()), T.StructField("s_label", label), T.StructField("distance", T.DoubleType())])
+    return sources.select(F.col("id").cast("long").alias("id"), F.col("vec").cast("array<double>").alias("vec"), "label").mapInArrow(best, out)
+
+
 def nearest(targets: DataFrame, sources: DataFrame, k: int = 5, metric: str = "cosine", on_label: bool = False, max_distance: float = -1.0) -> DataFrame:
-    """``t_id, s_id, distance, place``: the k nearest usable sources of each target, no farther than ``max_distance`` if that's 0 or more."""
+    """``t_id, s_id, distance, place``: the k nearest usable sources of each target, no farther than ``max_distance`` if that's 0 or more.
+
+    Targets of a checked size are held against all sources in blocks; more of them, and pairs by label, are joined. Ids are long."""
     usable = numbers.vector_ok(F.col("vec"))
-    pairs = target_source_pairs(targets.where(usable), sources.where(usable), on_label)
-    d = pairs.withColumn("distance", distance(metric, F.col("t_vec"), F.col("s_vec"))).where("distance is not null")
+    targets, sources = targets.where(usable), sources.where(usable)
+    w = Window.partitionBy("t_id").orderBy("distance", "s_id")
+    if not on_label and _small(targets):
+        d = _scan(targets, sources, k, metric, max_distance if max_distance >= 0 else float("inf"))
+        top = d.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k)
+        labels = targets.select(F.col("id").cast("long").alias("t_id"), F.col("label").alias("t_label"))
+        return top.join(labels, "t_id").select("t_id", "t_label", "s_id", "s_label", "distance", "place")
+    d = target_source_pairs(targets, sources, on_label).withColumn("distance", F.round(distance(metric, F.col("t_vec"), F.col("s_vec")), 12)).where("distance is not null")
     if max_distance >= 0:
         d = d.where(F.col("distance") <= F.lit(max_distance))
-    w = Window.partitionBy("t_id").orderBy("distance", "s_id")
     return d.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k).select("t_id", "t_label", "s_id", "s_label", "distance", "place")
 
 
@@ -64,11 +138,42 @@ def similarity_floor(candidates: DataFrame, targets: DataFrame, floor: float, on
     """``id, max_similarity, matched_target, kept``: each candidate's most similar target (the first on ties); kept at ``floor`` or more."""
     if not -1 <= floor <= 1:
         raise ValueError("the floor must be in [-1, 1]")
-    pairs = target_source_pairs(targets, candidates, on_label).withColumn("sim", numbers.cosine(F.col("t_vec"), F.col("s_vec"))).where("sim is not null")
-    best = pairs.groupBy(F.col("s_id").alias("id")).agg(F.max(F.struct(F.col("sim"), (-F.col("t_id")).alias("neg"))).alias("b"))
+    usable = numbers.vector_ok(F.col("vec"))
+    targets, candidates = targets.where(usable), candidates.where(usable)
+    if not on_label and _small(targets):
+        # seen from the candidates: each is a target of its own, and its nearest is kept
+        pairs = _nearest_to_each(candidates, targets)
+    else:
+        sim = F.round(numbers.cosine(F.col("t_vec"), F.col("s_vec")), 12)
+        pairs = target_source_pairs(targets, candidates, on_label).select(F.col("s_id").alias("id"), F.col("t_id"), sim.alias("sim")).where("sim is not null")
+    best = pairs.groupBy("id").agg(F.max(F.struct(F.col("sim"), (-F.col("t_id")).alias("neg"))).alias("b"))
     return best.select("id", F.col("b.sim").alias("max_similarity"), (-F.col("b.neg")).alias("matched_target"), (F.col("b.sim") >= F.lit(floor)).alias("kept"))
 
 
+def _nearest_to_each(rows: DataFrame, few: DataFrame) -> DataFrame:
+    """``id, t_id, sim``: the most similar of ``few`` for each row, without a shuffle of the rows."""
+    held = few.select("id", F.col("vec").cast("array<double>").alias("vec")).orderBy("id").collect()
+    by_size = {n: (np.array([r["id"] for r in held if len(r["vec"]) == n], np.int64), np.array([r["vec"] for r in held if len(r["vec"]) == n], np.float64)) for n in {len(r["vec"]) for r in held}}
+    shared = rows.sparkSession.sparkContext.broadcast(by_size)
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lengths = np.asarray(b.column(1).value_lengths())
+            for n, (ids, t) in shared.value.items():
+                at = np.flatnonzero(lengths == n)
+                if len(at):
+                    take = pa.array(at)
+                    s = np.asarray(b.column(1).take(take).flatten()).reshape(-1, n)
+                    sim = np.round(1 - _distances("cosine", t, s), 12)
+                    sim[np.isnan(sim)] = -np.inf
+                    first = sim.argmax(axis=0)  # ids ascend, so the first of equals is the smallest
+                    value = sim[first, np.arange(len(at))]
+                    ok = pa.array(np.isfinite(value))
+                    yield pa.RecordBatch.from_arrays([b.column(0).take(take).filter(ok), pa.array(ids[first]).filter(ok), pa.array(value).filter(ok)], names=["id", "t_id", "sim"])
+
+    return rows.select(F.col("id").cast("long").alias("id"), F.col("vec").cast("array<double>").alias("vec")).mapInArrow(best, "id long, t_id long, sim double")
+
+
 def floor_summary(floored: DataFrame, floor: float) -> DataFrame:
     s = F.col("max_similarity")
     return floored.agg(F.count("*").alias("candidate_count"), F.count_if("kept").alias("kept_count"), F.count_if(~F.col("kept")).alias("rejected_count"), F.lit(floor).alias("similarity_threshold"), F.min(s).alias("min_similarity"), F.max(s).alias("max_similarity"), F.avg(s).alias("mean_similarity"))

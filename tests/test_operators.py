@@ -114,6 +114,32 @@ def test_floor_and_blocks(spark, monkeypatch):
         assert [(r["t_id"], r["s_id"]) for r in similarity.nearest(targets, pool, 1).orderBy("t_id").collect()] == [(1, 10), (2, 10)]
 
 
+@pytest.mark.parametrize("metric", ["cosine", "euclidean", "manhattan"])
+@pytest.mark.parametrize("size", [1 << 20, 0])
+def test_nearest_equals_counting(spark, monkeypatch, metric, size):
+    monkeypatch.setattr(similarity, "BROADCAST_BYTES", size)
+    rng = random.Random(6)
+    vec = lambda: rng.choice([[rng.choice([-1.0, 0.0, 1.0, 2.0]) for _ in range(3)], [1.0], None, [], [float("nan"), 0.0, 0.0]])
+    rows = [(i, vec(), rng.choice("ab")) for i in range(300)]
+    v = lambda r: spark.createDataFrame(r, "id long, vec array<double>, label string")
+    got = {(r["t_id"], r["place"]): (r["s_id"], r["s_label"]) for r in similarity.nearest(v(rows[:40]), v(rows[40:]), 4, metric).collect()}
+
+    def far(a, b):
+        if metric == "cosine":
+            na, nb = sum(x * x for x in a) ** 0.5, sum(x * x for x in b) ** 0.5
+            return round(1 - max(-1.0, min(1.0, sum(x * y for x, y in zip(a, b)) / (na * nb))), 12) if na and nb else None
+        p = 2 if metric == "euclidean" else 1
+        return round(sum(abs(x - y) ** p for x, y in zip(a, b)) ** (1 / p), 12)
+
+    good = lambda x: x and x == x and not any(y != y for y in x)
+    want = {}
+    for i, a, _ in rows[:40]:
+        if good(a):
+            d = sorted((far(a, b), j, l) for j, b, l in rows[40:] if good(b) and len(a) == len(b) and far(a, b) is not None)
+            want |= {(i, n + 1): (j, l) for n, (_, j, l) in enumerate(d[:4])}
+    assert got == want
+
+
 def test_ordered_distinct(spark):
     df = spark.createDataFrame([(0, "z", ["f1", "f2"]), (1, "a", ["f2", None]), (2, "z", None), (3, None, ["f3"])], "o int, f string, xs array<string>")
     order = lambda d: [r["key"] for r in d.orderBy("column_no", "first_row").collect()]
