@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from gaugeworks.functions.labels import file_stem
 from gaugeworks.functions.paths import basename, strip_blank
+from gaugeworks.operators.prefix import prefix_sums
 
 # fixed values: file endings and where a document may keep its list of records, in order
 FORMATS = {".parquet": "parquet", ".pq": "parquet", ".jsonl": "jsonl", ".ndjson": "jsonl", ".json": "json", ".csv": "csv"}
@@ -45,11 +46,14 @@ def required(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def read_scored(spark: SparkSession, path: str, label: str = "label", score: str = "siamese_score") -> tuple[DataFrame, DataFrame]:
-    """Scored rows and the offending ones (blank or not a number), each with its line: (good, bad).
+    """Scored rows and the offending ones (score blank or not a number), each with its ``file`` and ``line``: (good, bad).
 
-    Lines are numbered from 2, below the header, by file and offset, as Spark splits files in order."""
+    Lines count records from 2, below the header, in each file."""
     raw = required(read_annotations(spark, path, kind="csv"), label, score)
-    rows = raw.withColumn("line", F.monotonically_increasing_id() + 2).withColumn("score", strip_blank(F.col(score)).try_cast("double"))
+    placed = raw.select("*", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("_at"))
+    ranked = prefix_sums(placed, ["_at"], {"_n": F.lit(1).cast("long")})
+    first = ranked.groupBy("file").agg(F.min("_n").alias("_first"))
+    rows = ranked.join(first, "file").withColumn("line", F.col("_n") - F.col("_first") + 2).drop("_at", "_n", "_first").withColumn("score", strip_blank(F.col(score)).try_cast("double"))
     return rows.where("score is not null"), rows.where("score is null")
 
 

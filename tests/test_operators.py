@@ -213,3 +213,29 @@ def test_stream_alarms(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert [tuple(r) for r in spark.table("alarms").collect()] == [("r", 4, 3)]
+
+
+def test_bad_scores_come_with_their_lines(spark, tmp_path):
+    from gaugeworks.sources import readers
+
+    (tmp_path / "a.csv").write_text('label,siamese_score,note\nPASS,0.5,"two\nlines"\nbridge, ,x\nbridge,nope,y\nPASS, 1e-1 ,z\n')
+    (tmp_path / "b.csv").write_text("label,siamese_score,note\nPASS,,x\n")
+    good, bad = readers.read_scored(spark, f"{tmp_path}/*.csv")
+    at = lambda df: sorted((r["file"][-5:], r["line"]) for r in df.collect())
+    assert at(good) == [("a.csv", 2), ("a.csv", 5)] and at(bad) == [("a.csv", 3), ("a.csv", 4), ("b.csv", 2)]
+    with pytest.raises(ValueError, match="no column"):
+        readers.read_scored(spark, str(tmp_path / "a.csv"), score="absent")
+
+
+@pytest.mark.parametrize("kind", ["parquet", "jsonl", "json", "csv"])
+def test_formats_come_back(spark, tmp_path, kind):
+    from gaugeworks.sources import readers, sinks
+
+    df = spark.createDataFrame([("clips/a.mp4", 'say "hi", ok'), ("clips/b.mp4", "two\nlines"), ("clips/a.mp4", None)], "video string, caption string")
+    path = str(tmp_path / f"t.{kind}")
+    if kind == "json":
+        sinks.json_array(df, ["video", "caption"]).coalesce(1).write.text(path)
+    else:
+        {"parquet": sinks.write_parquet, "jsonl": sinks.write_jsonl, "csv": sinks.write_csv}[kind](df, path)
+    got = readers.read_annotations(spark, path, "video string, caption string")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
