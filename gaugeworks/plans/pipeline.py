@@ -96,4 +96,23 @@ from (select line_id, j, not coalesce(json_valid(j), false) or left(j, 1) <> '{{
   from (select line_id, {_BLANKLESS.format(c="t")} j from lines where line_kind = 'loop_log'))
 where bad or coalesce(json_extract(case when not bad then j end, '$.status')::varchar, '') not in ('"ok"', '"error"')"""
 
-ORACLE = {"p4_found": P4, "p6_found": P6}
+_ITER = "case when lower(trim(iter)) = 'baseline' then 0 else try_cast(nullif(regexp_extract(lower(trim(iter)), '^iter(\\d{1,9})$', 1), '') as int) end"
+
+P4_REPORT = f"""
+with recursive direct as ({P4}),
+states as (select state_id, run_id, {_ITER} n, updated_at tm from deft_iterations where run_id is not null),
+g as (select distinct s.run_id, s.n, 0 depth from states s join direct d on d.src_table = 'deft_iterations' and d.row_key = s.state_id where s.n is not null
+  union select s.run_id, s.n, g.depth + 1 from g join states s on s.run_id = g.run_id and s.n = g.n + 1),
+o as (select run_id, n, min(depth) + 1 depth from g group by all),
+inherited as (select 'deft_iterations' src_table, s.state_id row_key, strftime(s.tm, '%Y-%m') ref_month, o.depth from states s join o on o.run_id = s.run_id and o.n = s.n - 1
+  union all select 'loop_log', l.log_id, strftime(l.ts, '%Y-%m'), o.depth from (select *, {_ITER} n from loop_log) l join o on o.run_id = l.run_id and o.n = l.n),
+every as (select src_table, row_key, ref_month, 'direct' orphan_kind, orphan_reason, 0 depth from direct
+  union all select src_table, row_key, ref_month, 'inherited', null, depth from inherited i where not exists (select 1 from direct d where d.src_table = i.src_table and d.row_key = i.row_key))
+select src_table, ref_month, orphan_kind, orphan_reason, count(*) orphans, max(depth) deepest from every group by all"""
+
+_UNQUOTED = "case when starts_with(f[{i}], chr(34)) then replace(f[{i}][2:-2], chr(34) || chr(34), chr(34)) else f[{i}] end"
+P6_ROWS = P6[: P6.index("named as (")].rstrip().rstrip(",") + f"""
+select line_id, {_UNQUOTED.format(i=1)} input_path, {_UNQUOTED.format(i=2)} golden_path, {_BLANKLESS.format(c=_UNQUOTED.format(i=3))} label, {_UNQUOTED.format(i=4)} object_name, {_BLANKLESS.format(c=_UNQUOTED.format(i=5))}::double score
+from inference where line_id not in (select line_id from ({P6}))"""
+
+ORACLE = {"p4_found": P4, "p4_report": P4_REPORT, "p6_found": P6, "p6_rows": P6_ROWS}
