@@ -53,6 +53,16 @@ def _small(targets: DataFrame) -> bool:
     return (size["n"] or 0) * ((size["d"] or 0) * 8 + 64) <= BROADCAST_BYTES
 
 
+def _matrices(few: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Ids, ascending, and vectors of rows whose size was checked, by dimension."""
+    rows = few.select("id", F.col("vec").cast("array<double>").alias("vec")).orderBy("id").collect()
+    out = {}
+    for n in {len(r["vec"]) for r in rows}:
+        mine = [r for r in rows if len(r["vec"]) == n]
+        out[n] = np.array([r["id"] for r in mine], np.int64), np.array([r["vec"] for r in mine], np.float64)
+    return out
+
+
 def _distances(metric: str, t: np.ndarray, s: np.ndarray) -> np.ndarray:
     """Of all targets to all sources; NaN where there is none."""
     if metric == "cosine":
@@ -72,12 +82,7 @@ def _scan(targets: DataFrame, sources: DataFrame, k: int, metric: str, most: flo
 
     The targets, whose size the caller has checked, go to every worker; of the sources only
     each partition's best leave it. Equal distances (to 12 digits) go to the smaller id."""
-    rows = targets.select("id", F.col("vec").cast("array<double>").alias("vec")).collect()
-    by_size: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    for n in {len(r["vec"]) for r in rows}:
-        mine = [r for r in rows if len(r["vec"]) == n]
-        by_size[n] = np.array([r["id"] for r in mine], np.int64), np.array([r["vec"] for r in mine], np.float64)
-    shared = sources.sparkSession.sparkContext.broadcast(by_size)
+    shared = sources.sparkSession.sparkContext.broadcast(_matrices(targets))
     label = sources.schema["label"].dataType
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,9 +157,7 @@ def similarity_floor(candidates: DataFrame, targets: DataFrame, floor: float, on
 
 def _nearest_to_each(rows: DataFrame, few: DataFrame) -> DataFrame:
     """``id, t_id, sim``: the most similar of ``few`` for each row, without a shuffle of the rows."""
-    held = few.select("id", F.col("vec").cast("array<double>").alias("vec")).orderBy("id").collect()
-    by_size = {n: (np.array([r["id"] for r in held if len(r["vec"]) == n], np.int64), np.array([r["vec"] for r in held if len(r["vec"]) == n], np.float64)) for n in {len(r["vec"]) for r in held}}
-    shared = rows.sparkSession.sparkContext.broadcast(by_size)
+    shared = rows.sparkSession.sparkContext.broadcast(_matrices(few))
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -174,6 +177,32 @@ def _nearest_to_each(rows: DataFrame, few: DataFrame) -> DataFrame:
     return rows.select(F.col("id").cast("long").alias("id"), F.col("vec").cast("array<double>").alias("vec")).mapInArrow(best, "id long, t_id long, sim double")
 
 
+def semantic_duplicates(rows: DataFrame, floor: float) -> DataFrame:
+    """``id, duplicate_of``: rows with a row of smaller id at a cosine of ``floor`` or more, and the smallest such id.
+
+    Rows of a checked size are held against themselves in blocks of matrix products; more are joined in blocks."""
+    rows = rows.where(numbers.vector_ok(F.col("vec")))
+    if not _small(rows):
+        pairs = target_source_pairs(rows, rows).where((F.col("t_id") < F.col("s_id")) & (F.round(numbers.cosine(F.col("t_vec"), F.col("s_vec")), 12) >= F.lit(floor)))
+        return pairs.groupBy(F.col("s_id").alias("id")).agg(F.min("t_id").alias("duplicate_of"))
+    shared = rows.sparkSession.sparkContext.broadcast(_matrices(rows))
+
+    def earlier(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lengths = np.asarray(b.column(1).value_lengths())
+            for n, (ids, t) in shared.value.items():
+                at = np.flatnonzero(lengths == n)
+                if len(at):
+                    take = pa.array(at)
+                    own = np.asarray(b.column(0).take(take))
+                    near = np.round(1 - _distances("cosine", t, np.asarray(b.column(1).take(take).flatten()).reshape(-1, n)), 12) >= floor
+                    near &= ids[:, None] < own[None, :]
+                    hit = near.any(axis=0)
+                    yield pa.RecordBatch.from_arrays([pa.array(own[hit]), pa.array(ids[near.argmax(axis=0)[hit]])], names=["id", "duplicate_of"])
+
+    return rows.select(F.col("id").cast("long").alias("id"), F.col("vec").cast("array<double>").alias("vec")).mapInArrow(earlier, "id long, duplicate_of long")
+
+
 def floor_summary(floored: DataFrame, floor: float) -> DataFrame:
     s = F.col("max_similarity")
     return floored.agg(F.count("*").alias("candidate_count"), F.count_if("kept").alias("kept_count"), F.count_if(~F.col("kept")).alias("rejected_count"), F.lit(floor).alias("similarity_threshold"), F.min(s).alias("min_similarity"), F.max(s).alias("max_similarity"), F.avg(s).alias("mean_similarity"))

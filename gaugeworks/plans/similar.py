@@ -74,6 +74,11 @@ def _(t):
     return sim.knn_labels(sim.nearest(*sides(t)))
 
 
+@add("agg_semantic_dedup", "select b.vec_id id, min(a.vec_id) duplicate_of from embeddings a join embeddings b on a.vec_id < b.vec_id and round(list_cosine_similarity(a.embedding::double[], b.embedding::double[]), 12) >= 0.3 group by 1")
+def _(t):
+    return sim.semantic_duplicates(t("embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"), "label"), 0.3)
+
+
 @add("agg_top3_mean", "with e as (select user_id, value, row_number() over (partition by user_id order by value desc) n from events) select user_id, round(avg(value), 6) best_mean from e where n <= 3 group by 1")
 def _(t):
     return with_rounded(sim.mean_of_best(t("events"), "user_id", "value"), "best_mean")

@@ -114,6 +114,14 @@ def test_floor_and_blocks(spark, monkeypatch):
         assert [(r["t_id"], r["s_id"]) for r in similarity.nearest(targets, pool, 1).orderBy("t_id").collect()] == [(1, 10), (2, 10)]
 
 
+@pytest.mark.parametrize("size", [1 << 20, 0])
+def test_semantic_duplicates(spark, monkeypatch, size):
+    monkeypatch.setattr(similarity, "BROADCAST_BYTES", size)
+    rows = [(3, [1.0, 0.0], "a"), (1, [1.0, 0.1], "b"), (2, [0.0, 1.0], "a"), (4, [2.0, 0.0], None), (5, None, "a"), (6, [0.0, 0.0], "a"), (7, [0.0, 3.0], "a")]
+    df = spark.createDataFrame(rows, "id long, vec array<double>, label string")
+    assert {(r["id"], r["duplicate_of"]) for r in similarity.semantic_duplicates(df, 0.99).collect()} == {(3, 1), (4, 1), (7, 2)}
+
+
 @pytest.mark.parametrize("metric", ["cosine", "euclidean", "manhattan"])
 @pytest.mark.parametrize("size", [1 << 20, 0])
 def test_nearest_equals_counting(spark, monkeypatch, metric, size):
