@@ -20,6 +20,7 @@ from gaugeworks.operators.prefix import prefix_sums
 from gaugeworks.session import materialize
 
 _FIRST, _LAST = -(1 << 62), 1 << 62
+HOPS = 4
 
 
 def references(df: DataFrame, table: str, row_key: str, field: str, key: Column, time: str) -> DataFrame:
@@ -78,10 +79,15 @@ def cascade(orphans: DataFrame, records: DataFrame) -> DataFrame:
     frontier = materialize(records.where("own is not null").join(direct, key, "left_semi").select(F.col("own").alias("g")).distinct().withColumn("depth", F.lit(0)))
     seen, depth = frontier, 0
     while not frontier.isEmpty():
-        depth += 1
-        reached = edges.join(frontier.select(F.col("g").alias("up")), "up", "left_semi").select("g").distinct()
-        frontier = materialize(reached.join(seen.select("g"), "g", "left_anti").withColumn("depth", F.lit(depth)))
-        seen = seen.unionByName(frontier)
+        level, found = frontier, None
+        for _ in range(HOPS):  # so many levels in one job; what was seen before is left out once, at its end
+            depth += 1
+            level = edges.join(level.select(F.col("g").alias("up")), "up", "left_semi").select("g").distinct()
+            step = level.withColumn("depth", F.lit(depth))
+            found = step if found is None else found.unionByName(step)
+        found = materialize(found.groupBy("g").agg(F.min("depth").alias("depth")).join(seen.select("g"), "g", "left_anti"))
+        seen = seen.unionByName(found)
+        frontier = found.where(F.col("depth") == depth)
     inherited = records.where("up is not null").join(seen.select(F.col("g").alias("up"), "depth"), "up")
     return inherited.groupBy(*key).agg((F.min("depth") + 1).alias("depth")).join(direct, key, "left_anti")
 

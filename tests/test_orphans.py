@@ -54,6 +54,13 @@ def test_cascade_to_the_fixpoint(spark):
     assert got == {("s", 2): 1, ("s", 3): 2, ("l", 4): 3, ("s", 6): 3}
 
 
+def test_long_chain_and_shortcut(spark):
+    rows = [("s", i, f"g{i}", f"g{i - 1}" if i else None) for i in range(11)] + [("s", 20, "g6", "g0"), ("s", 21, "g10", "g10")]
+    records = spark.createDataFrame(rows, "src_table string, row_key long, own string, up string")
+    got = {r["row_key"]: r["depth"] for r in orphans.cascade(spark.createDataFrame([("s", 0)], "src_table string, row_key long"), records).collect()}
+    assert got == {**{i: i for i in range(1, 7)}, **{i: i - 5 for i in range(7, 11)}, 20: 1, 21: 6}
+
+
 def test_run_tables_with_nulls(spark):
     it = spark.createDataFrame([(1, "r", "baseline", " ", None, day(1), 7), (2, "r", "iter1", "./a//b/", "x", day(2), 7), (None, None, None, None, None, None, None)], "state_id long, run_id string, iter string, best_ckpt_path string, inference_csv string, updated_at timestamp, key int")
     log = spark.createDataFrame([(9, "r", "iter1", " Train ", day(2)), (8, "r", "iter2", "nope", day(2))], "log_id long, run_id string, iter string, stage string, ts timestamp")
