@@ -24,6 +24,7 @@ from gaugeworks.llm import simjoin
 from gaugeworks.session import materialize
 
 THRESHOLD = 0.7
+ORDER = "t double, bits int, hot long, bucket array<int>, n array<long>"
 
 
 def base_rows(df: DataFrame, id_col: str, batch_col: str, path_col: str, text_col: str) -> DataFrame:
@@ -83,12 +84,15 @@ def repeated_rows(df: DataFrame, id_col: str = "row_id", batch_col: str = "batch
 class SegmentHistory:
     """Accepted rows as append-only tables in a shared folder: segments, sets and keys.
 
-    The token order is fixed when the index is made, from the counts of the first
-    batch (any order is right; new tokens count as rare)."""
+    The token order and which tokens are hot are fixed when the index is made, from the
+    counts of the first batch (any order is right; new tokens count as rare), and stand
+    beside the segments: whoever opens the folder later, with the same ``t``, takes them
+    from there."""
 
     def __init__(self, spark: SparkSession, path: str, t: float = THRESHOLD):
         self.spark, self.path, self.t = spark, path.rstrip("/"), t
         self.freq: np.ndarray | None = None
+        self.hot = simjoin.HOT
 
     def _read(self, name: str, schema: str) -> DataFrame:
         try:
@@ -98,15 +102,34 @@ class SegmentHistory:
                 raise
             return self.spark.createDataFrame([], schema)
 
+    def _open(self, batch: DataFrame, text_col: str) -> None:
+        """Take the order of the stored segments; of an empty folder, make and store it."""
+        made = self._read("order", ORDER).collect()
+        if made:
+            (o,) = made
+            if (o["t"], o["bits"]) != (self.t, simjoin.BITS):
+                raise ValueError(f"the index was made with t = {o['t']} and {o['bits']} bits, not {self.t} and {simjoin.BITS}")
+            freq = np.zeros(1 << o["bits"], np.int64)
+            freq[np.array(o["bucket"], np.int64)] = o["n"]
+            self.freq, self.hot = freq, o["hot"]
+            return
+        if not self._read("segments", simjoin.SEGMENTS).isEmpty():
+            raise ValueError(f"the segments in {self.path} have no stored order, so nothing new can meet them; make the index again")
+        freq = simjoin.frequencies(batch, text_col, 1)
+        at = np.flatnonzero(freq)
+        one = self.spark.createDataFrame([(self.t, simjoin.BITS, self.hot, at.tolist(), freq[at].tolist())], ORDER)
+        one.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/order")
+        self.freq = freq
+
     def offer(self, batch: DataFrame, id_col: str = "row_id", batch_col: str = "batch_no", path_col: str = "filepath", text_col: str = "description") -> DataFrame:
         """``id, batch`` of the batch's cases; its accepted rows are appended to the index."""
         if self.freq is None:
-            self.freq = simjoin.frequencies(batch, text_col, 1)
+            self._open(batch, text_col)
         rows = materialize(base_rows(batch, id_col, batch_col, path_col, text_col))
         keys = self._read("rows", "path long, set_id long")
         old = self._read("segments", simjoin.SEGMENTS)
         sets = self._read("sets", "id long, tokens array<long>")
-        mine = materialize(simjoin.segments(batch, text_col, 1, self.t, self.freq))
+        mine = materialize(simjoin.segments(batch, text_col, 1, self.t, self.freq, self.hot))
         met = materialize(simjoin.candidates(mine, self.t, old).union(simjoin.candidates(mine, self.t)).distinct())
         here = simjoin.sets_of(batch, text_col, 1, rows.where("set_id is not null").select(F.col("set_id").alias("id")).distinct())
         known = materialize(here)

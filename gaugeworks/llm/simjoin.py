@@ -63,8 +63,9 @@ def need(t: float, n: np.ndarray) -> np.ndarray:
     return np.ceil(t * n - EPS).astype(np.int64)
 
 
-def _segments(h: np.ndarray, r: np.ndarray, n_rows: int, freq: np.ndarray, t: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of distinct tokens ordered by row and hash: segment keys, the row of each, and whether it's among those needed towards partners of the same size or larger."""
+def _segments(h: np.ndarray, r: np.ndarray, n_rows: int, freq: np.ndarray, t: float, limit: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of distinct tokens ordered by row and hash: segment keys, the row of each, and whether it's among those needed towards partners of the same size or larger. Tokens of more than ``limit`` rows (HOT) are hot."""
+    limit = HOT if limit is None else limit
     f = np.minimum(freq[(h >> np.uint64(64 - BITS)).astype(np.int64)], (1 << 20) - 1)
     if n_rows <= 1 << 14:  # h is ordered within each row, and a stable sort leaves it so among ties
         key = (r.astype(np.uint64) << np.uint64(50)) | (f.astype(np.uint64) << np.uint64(30)) | (h >> np.uint64(34))
@@ -78,9 +79,9 @@ def _segments(h: np.ndarray, r: np.ndarray, n_rows: int, freq: np.ndarray, t: fl
     k1 = (sizes - need(t, sizes) + 1)[r]
     k0 = (sizes - need(2 * t / (1 + t), sizes) + 1)[r]
     head = (place < k1) & (sizes[r] > 1)
-    cool = head & (f <= HOT)
+    cool = head & (f <= limit)
     keys, rows, lead = [h[cool]], [r[cool]], [(place < k0)[cool]]
-    hot = np.flatnonzero(head & (f > HOT))
+    hot = np.flatnonzero(head & (f > limit))
     step = 1
     while len(hot):
         other = hot + step
@@ -93,8 +94,11 @@ def _segments(h: np.ndarray, r: np.ndarray, n_rows: int, freq: np.ndarray, t: fl
     return np.concatenate(keys), np.concatenate(rows), np.concatenate(lead)
 
 
-def segments(df: DataFrame, text: str, shingle: int, t: float, freq: np.ndarray) -> DataFrame:
-    """``key, id, size, sketch, lead``: the stored segments of each distinct set."""
+def segments(df: DataFrame, text: str, shingle: int, t: float, freq: np.ndarray, limit: int | None = None) -> DataFrame:
+    """``key, id, size, sketch, lead``: the stored segments of each distinct set.
+
+    Only segments made with the same ``t``, ``freq`` and ``limit`` (HOT) meet."""
+    limit = HOT if limit is None else limit
     shared = df.sparkSession.sparkContext.broadcast(freq)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,7 +121,7 @@ def segments(df: DataFrame, text: str, shingle: int, t: float, freq: np.ndarray)
             sketch = np.zeros(n, np.uint64)
             first = np.flatnonzero(np.r_[True, r[1:] != r[:-1]])
             sketch[r[first]] = np.bitwise_xor.reduceat(np.uint64(1) << (h & np.uint64(63)), first)
-            keys, rows, lead = _segments(h, r, n, table, t)
+            keys, rows, lead = _segments(h, r, n, table, t, limit)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys.view(np.int64)), pa.array(ids[rows].view(np.int64)), pa.array(sizes[rows].astype(np.int32)), pa.array(sketch[rows].view(np.int64)), pa.array(lead)],
                 names=["key", "id", "size", "sketch", "lead"],

@@ -1,5 +1,6 @@
 import random
 import re
+import shutil
 
 import numpy as np
 import pyarrow as pa
@@ -138,6 +139,40 @@ def test_batches_one_by_one(spark, tmp_path):
     assert got == brute_cases(rows)
 
 
+@pytest.mark.parametrize("hot", [3000, 4])
+def test_each_batch_through_a_reopened_index(spark, tmp_path, monkeypatch, hot):
+    """One job a batch: the first sets the order, and what it had hot stays hot, whatever later jobs would choose."""
+    rng = random.Random(hot)
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(rng.sample(words, 10)) for _ in range(150)]
+    rows = [(i, 0, None, x) for i, x in enumerate(texts)]
+    for i, x in enumerate(rng.sample(texts, 40)):
+        w = x.split()
+        w[rng.randrange(10)] = f"new{i}"
+        rows.append((1000 + i, 1 + i % 2, None, " ".join(w)))
+    got = set()
+    for b in range(3):
+        monkeypatch.setattr(simjoin, "HOT", hot if b == 0 else 3000)
+        index = history.SegmentHistory(spark, str(tmp_path / "index"))
+        got |= {r["id"] for r in index.offer(curation(spark, [r for r in rows if r[1] == b])).collect()}
+    assert got == brute_cases(rows)
+
+
+def test_an_index_is_opened_as_it_was_made(spark, tmp_path, monkeypatch):
+    at = str(tmp_path / "index")
+    batch = curation(spark, [(1, 0, "a", "x y z")])
+    history.SegmentHistory(spark, at, 0.7).offer(batch)
+    with pytest.raises(ValueError):
+        history.SegmentHistory(spark, at, 0.8).offer(batch)
+    with monkeypatch.context() as m:
+        m.setattr(simjoin, "BITS", 16)
+        with pytest.raises(ValueError):
+            history.SegmentHistory(spark, at, 0.7).offer(batch)
+    shutil.rmtree(tmp_path / "index" / "order")
+    with pytest.raises(ValueError):
+        history.SegmentHistory(spark, at, 0.7).offer(batch)
+
+
 def test_long_chain_hot_path_and_copies(spark):
     words = [f"w{i}" for i in range(60)]
     chain = [(i, 0, None, " ".join(words[i : i + 20])) for i in range(40)]  # each alike only to its neighbours
