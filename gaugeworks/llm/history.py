@@ -15,13 +15,16 @@ their order columns. Extra columns are ignored."""
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeworks.functions.paths import path_key
 from gaugeworks.llm import simjoin
-from gaugeworks.session import materialize
+from gaugeworks.session import materialize, shared_dir
 
 THRESHOLD = 0.7
 ORDER = "t double, bits int, hot long, bucket array<int>, n array<long>"
@@ -43,6 +46,12 @@ def _busy(rows: DataFrame, col: str) -> DataFrame:
     return rows.where(F.col(col).isNotNull()).groupBy(col).agg(F.count("*").alias("n")).where("n > 1").select(col)
 
 
+def _without(rows: DataFrame, other: DataFrame) -> DataFrame:
+    """``rows`` whose id and batch aren't in ``other``; as fields of a struct, nulls are equal."""
+    o = F.struct("batch", "id").alias("o")
+    return rows.select("*", o).join(other.select(o), "o", "left_anti").drop("o")
+
+
 def resolve(rows: DataFrame, links: DataFrame) -> DataFrame:
     """The cases among ``rows`` (``id, batch, path, set_id``), given ``links`` (``a, b``, both directions).
 
@@ -141,10 +150,20 @@ class SegmentHistory:
         gone = gone.union(links.join(gone, F.col("a") == F.col("set_id")).select("b")).distinct()
         fresh = materialize(rows.join(keys.where("path is not null").select("path").distinct(), "path", "left_anti").join(gone, "set_id", "left_anti").select("id", "batch", "path", "set_id"))
         inner = resolve(fresh, links)
-        accepted = materialize(fresh.join(inner, ["id", "batch"], "left_anti"))
-        cases = materialize(rows.join(accepted, ["id", "batch"], "left_anti").select("id", "batch"))
+        accepted = materialize(_without(fresh, inner))
+        cases = materialize(_without(rows, accepted).select("id", "batch"))
         kept = accepted.where("set_id is not null").select(F.col("set_id").alias("id")).distinct()
         accepted.select("path", "set_id").write.mode("append").parquet(f"{self.path}/rows")
         mine.join(kept, "id", "left_semi").dropDuplicates(["key", "id"]).select(*mine.columns).write.mode("append").parquet(f"{self.path}/segments")
         known.join(kept, "id", "left_semi").write.mode("append").parquet(f"{self.path}/sets")
         return cases
+
+
+def offered_rows(df: DataFrame, id_col: str = "row_id", batch_col: str = "batch_no", path_col: str = "filepath", text_col: str = "description", t: float = THRESHOLD) -> DataFrame:
+    """``id, batch`` of the cases of all batches of ``df``, offered in order of batch to an empty :class:`SegmentHistory`; rows without a batch come first."""
+    spark = df.sparkSession
+    no = F.col(batch_col).cast("long")
+    slim = df.select(id_col, batch_col, path_col, text_col)
+    index = SegmentHistory(spark, f"{shared_dir(spark)}/gaugeworks/{uuid.uuid4().hex}", t)
+    cases = [index.offer(slim.where(no.eqNullSafe(r["no"])), id_col, batch_col, path_col, text_col) for r in df.select(no.alias("no")).distinct().orderBy("no").collect()]
+    return reduce(DataFrame.union, cases, spark.createDataFrame([], "id long, batch long"))

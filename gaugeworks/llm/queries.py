@@ -17,13 +17,13 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return history.repeated_rows(load(spark, sf_dir, "curation_rows")).select(F.col("id").alias("row_id"))
+    return history.offered_rows(load(spark, sf_dir, "curation_rows")).select(F.col("id").alias("row_id"))
 
 
 def p3_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New and repeated rows of each batch and field."""
     rows = load(spark, sf_dir, "curation_rows")
-    cases = history.repeated_rows(rows).select(F.col("id").alias("row_id"), F.lit(True).alias("repeated"))
+    cases = history.offered_rows(rows).select(F.col("id").alias("row_id"), F.lit(True).alias("repeated"))
     joined = rows.select("row_id", "batch_no", "artifact_field").join(cases, "row_id", "left")
     return joined.groupBy("batch_no", "artifact_field").agg(F.count("*").alias("rows"), F.count("repeated").alias("repeated"))
 

@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from gaugeworks.llm import history, overlap, simjoin, tokens
+from gaugeworks.llm import history, overlap, queries, simjoin, tokens
 
 WORD = re.compile("[a-z0-9]+")
 
@@ -173,6 +173,19 @@ def test_an_index_is_opened_as_it_was_made(spark, tmp_path, monkeypatch):
         history.SegmentHistory(spark, at, 0.7).offer(batch)
 
 
+def test_the_query_offers_batch_by_batch(spark, monkeypatch):
+    """Each batch is held once against the stored history, rows without a batch first; the rows are those of one pass."""
+    rows = [(i, b, p, d) for i, b, p, d in random_rows(5, 60, 3)] + [(5000, None, "q", "x y z"), (5001, 2, "q", None)]
+    df = curation(spark, rows)
+    offered = []
+    offer = history.SegmentHistory.offer
+    monkeypatch.setattr(history.SegmentHistory, "offer", lambda self, batch, *a: offered.append((self.path, {r["batch_no"] for r in batch.collect()})) or offer(self, batch, *a))
+    monkeypatch.setattr(queries, "load", lambda *_: df)
+    got = sorted(r["row_id"] for r in queries.p3_found(spark, "").collect())
+    assert [b for _, b in offered] == [{None}, {0}, {1}, {2}] and len({p for p, _ in offered}) == 1
+    assert got == sorted(r["id"] for r in history.repeated_rows(df).collect())
+
+
 def test_long_chain_hot_path_and_copies(spark):
     words = [f"w{i}" for i in range(60)]
     chain = [(i, 0, None, " ".join(words[i : i + 20])) for i in range(40)]  # each alike only to its neighbours
