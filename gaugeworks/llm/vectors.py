@@ -49,14 +49,14 @@ def unit_rows(column: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
     return x / np.linalg.norm(x, axis=1, keepdims=True), rows
 
 
-def learn_rotations(x: np.ndarray, n_bits: int, seed: int = 7, rounds: int = 30) -> tuple[np.ndarray, np.ndarray]:
-    """Mean and a (dim, n_bits) matrix of blocks of iterative quantisation, each from another random start."""
+def learn_rotations(x: np.ndarray, n_bits: int, seed: int = 7, rounds: int = 30) -> np.ndarray:
+    """A (dim, n_bits) matrix of blocks of iterative quantisation, each from another random start.
+
+    Vectors aren't centred: the plan's recall is that of the angle between the vectors as they are."""
     dim = x.shape[1]
     rng = np.random.default_rng(seed)
-    mean = x.mean(axis=0) if len(x) else np.zeros(dim)
-    y = x - mean
-    _, axes = np.linalg.eigh(y.T @ y) if len(x) else (None, np.eye(dim))
-    v = y @ axes
+    _, axes = np.linalg.eigh(x.T @ x) if len(x) else (None, np.eye(dim))
+    v = x @ axes
     blocks = []
     for _ in range(math.ceil(n_bits / dim)):
         r = np.linalg.qr(rng.standard_normal((dim, dim)))[0]
@@ -64,7 +64,7 @@ def learn_rotations(x: np.ndarray, n_bits: int, seed: int = 7, rounds: int = 30)
             u, _, w = np.linalg.svd(np.where(v @ r >= 0, 1.0, -1.0).T @ v)
             r = (u @ w).T
         blocks.append(axes @ r)
-    return mean, np.hstack(blocks)[:, :n_bits]
+    return np.hstack(blocks)[:, :n_bits]
 
 
 def plan_substrings(n: int, floor: float) -> tuple[int, int]:
@@ -111,9 +111,9 @@ def most_similar(df: DataFrame, id_col: str, is_target, vector_col: str, k: int
     bits, n_sub = plan_substrings(counts[False], floor)
     share = min(1.0, 1.2 * SAMPLE / (counts[True] + counts[False]))
     sample = units(pa.array([bytes(r[0]) for r in unit.select("raw").sample(share, 11).limit(SAMPLE).collect()] or [np.ones(dim, kind).tobytes()]))
-    mean, matrix = learn_rotations(sample, bits * n_sub)
-    check_mean, check_matrix = learn_rotations(sample, CHECK_BITS, seed=23)
-    shared = spark.sparkContext.broadcast((mean, matrix, check_mean, check_matrix))
+    matrix = learn_rotations(sample, bits * n_sub)
+    check_matrix = learn_rotations(sample, CHECK_BITS, seed=23)
+    shared = spark.sparkContext.broadcast((matrix, check_matrix))
     weight = 1 << np.arange(bits, dtype=np.int64)
 
     # of each class and side the k smallest ids; the first stands for the class
@@ -123,14 +123,14 @@ def most_similar(df: DataFrame, id_col: str, is_target, vector_col: str, k: int
     reps = ranked.where("n = 1").select("target", F.col("id").alias("rep"), "class", "raw")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mean, matrix, check_mean, check_matrix = shared.value
+        matrix, check_matrix = shared.value
         for b in batches:
             if not b.num_rows:
                 continue
             x = units(b.column(2))
-            code = ((x - mean) @ matrix >= 0).reshape(len(x), n_sub, bits) @ weight
+            code = (x @ matrix >= 0).reshape(len(x), n_sub, bits) @ weight
             keys = code + (np.arange(n_sub, dtype=np.int64) << 32)
-            check = np.packbits((x - check_mean) @ check_matrix >= 0, axis=1).view(np.int64)
+            check = np.packbits(x @ check_matrix >= 0, axis=1).view(np.int64)
             offsets = pa.array(np.arange(len(x) + 1, dtype=np.int32) * n_sub)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(c) for c in check.T), pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()))], names=["target", "rep", "check1", "check2", "keys"])
 

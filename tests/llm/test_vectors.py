@@ -66,3 +66,16 @@ def test_pigeonhole_plan():
     bits, n = vectors.plan_substrings(320_000, 0.9)
     same = (1 - np.arccos(0.9) / np.pi) ** bits
     assert 1 - (1 - same) ** n >= vectors.RECALL_AT_FLOOR
+
+
+@pytest.mark.parametrize("length", [0.0, 0.7])
+def test_pairs_at_the_floor_meet_whatever_the_mean(length):
+    rng = np.random.default_rng(5)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    x = unit(length * np.eye(64)[0] + np.sqrt(1 - length**2) * unit(rng.standard_normal((6000, 64))))
+    bits, n = vectors.plan_substrings(320_000, 0.9)
+    matrix = np.asarray(vectors.learn_rotations(x[:4000], bits * n))
+    a = x[4000:]
+    b = np.array([near(rng, v, 0.9) for v in a])
+    code = lambda v: (v @ matrix >= 0).reshape(len(v), n, bits)
+    assert (code(a) == code(b)).all(2).any(1).mean() >= 0.95
