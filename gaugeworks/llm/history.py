@@ -19,22 +19,30 @@ import uuid
 from functools import reduce
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeworks.functions.paths import path_key
 from gaugeworks.llm import simjoin
-from gaugeworks.session import materialize, shared_dir
+from gaugeworks.session import materialize, release, shared_dir
 
 THRESHOLD = 0.7
-ORDER = "t double, bits int, hot long, bucket array<int>, n array<long>"
+ORDER = "t double, bits int, hot long, rows long, parts int, codes binary"
+TABLES = {"segments": simjoin.SEGMENTS, "sets": "id long, tokens array<long>", "known": "key long, kind int"}
+PREPARED = ("id", "batch", "path", "set_id", "tokens")
+PATH, SET = 0, 1
+PROBES = 600_000
+GROUPS = 16
+PART_ROWS = 300_000
+MOST_PARTS = 4096
+MERGE = 16
 
 
-def base_rows(df: DataFrame, id_col: str, batch_col: str, path_col: str, text_col: str) -> DataFrame:
-    """``id, batch, path, set_id``: path as a 64-bit hash of its key; null where blank."""
+def prepare(df: DataFrame, id_col: str, batch_col: str, path_col: str, text_col: str, with_tokens: bool = True) -> DataFrame:
+    """``id, batch, path, set_id`` and the set's ``tokens``: path as a 64-bit hash of its key; null where blank."""
     key = path_key(F.col(path_col), fold_case=True)
     slim = df.select(F.col(id_col).cast("long").alias("id"), F.col(batch_col).cast("long").alias("batch"), F.when(key.isNotNull(), F.xxhash64(key)).alias("path"), F.col(text_col).alias("text"))
-    return simjoin.set_ids(slim, "text", 1, ["id", "batch", "path"])
+    return simjoin.set_ids(slim, "text", 1, ["id", "batch", "path"], with_tokens)
 
 
 def _links(similar: DataFrame) -> DataFrame:
@@ -46,10 +54,10 @@ def _busy(rows: DataFrame, col: str) -> DataFrame:
     return rows.where(F.col(col).isNotNull()).groupBy(col).agg(F.count("*").alias("n")).where("n > 1").select(col)
 
 
-def _without(rows: DataFrame, other: DataFrame) -> DataFrame:
-    """``rows`` whose id and batch aren't in ``other``; as fields of a struct, nulls are equal."""
+def _without(rows: DataFrame, other: DataFrame, how: str = "left_anti") -> DataFrame:
+    """``rows`` whose id and batch aren't in ``other`` (or are: ``left_semi``); as fields of a struct, nulls are equal."""
     o = F.struct("batch", "id").alias("o")
-    return rows.select("*", o).join(other.select(o), "o", "left_anti").drop("o")
+    return rows.select("*", o).join(other.select(o), "o", how).drop("o")
 
 
 def resolve(rows: DataFrame, links: DataFrame) -> DataFrame:
@@ -85,85 +93,190 @@ def repeated_rows(df: DataFrame, id_col: str = "row_id", batch_col: str = "batch
     """``id, batch`` of the cases of all batches of ``df``, taken in order of batch and id in one pass.
 
     The same as offering the batches one by one to an empty :class:`SegmentHistory`."""
-    rows = materialize(base_rows(df, id_col, batch_col, path_col, text_col))
+    rows = materialize(prepare(df, id_col, batch_col, path_col, text_col, False))
     links = materialize(_links(simjoin.similar_sets(df, text_col, t)))
     return resolve(rows, links)
 
 
 class SegmentHistory:
-    """Accepted rows as append-only tables in a shared folder: segments, sets and keys.
+    """Accepted rows as append-only tables in a shared folder.
 
-    The token order and which tokens are hot are fixed when the index is made, from the
-    counts of the first batch (any order is right; new tokens count as rare), and stand
+    ``batches/<first>-<last>`` holds what those offers appended: ``segments``, ``sets``
+    (the tokens of each set) and ``known`` (sets and paths by key), each split by key
+    into the same number of parts. A batch is written aside and becomes visible by one
+    rename, whole or not at all; after MERGE batches they are merged into one.
+
+    What a batch probes goes to the executors that hold the parts it falls into: the
+    stored tables are read there, but neither shuffled nor sorted. So a batch costs a scan of
+    the parts it probes, and shuffles only rows of its own.
+
+    The token order, which tokens are hot and the number of parts are fixed when the index is
+    made, from the first batch (any order is right; new tokens count as rare), and stand
     beside the segments: whoever opens the folder later, with the same ``t``, takes them
     from there."""
 
     def __init__(self, spark: SparkSession, path: str, t: float = THRESHOLD):
         self.spark, self.path, self.t = spark, path.rstrip("/"), t
-        self.freq: np.ndarray | None = None
-        self.hot = simjoin.HOT
-
-    def _read(self, name: str, schema: str) -> DataFrame:
-        try:
-            return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
-        except Exception as e:  # the first batch finds no table
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            return self.spark.createDataFrame([], schema)
-
-    def _open(self, batch: DataFrame, text_col: str) -> None:
+        self.order: simjoin.Order | None = None
+        self.hot, self.parts = simjoin.HOT, 1
+
+    def _fs(self, *names: str):
+        where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path("/".join([self.path, *names]))
+        return where, where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _batches(self) -> list[tuple[int, int]]:
+        """First and last offer of each visible batch, in order; merged ones hide those they hold."""
+        where, fs = self._fs("batches")
+        if not fs.exists(where):
+            return []
+        spans = sorted({tuple(map(int, x.getPath().getName().split("-"))) for x in fs.listStatus(where)})
+        return [s for s in spans if not any(o != s and o[0] <= s[0] and s[1] <= o[1] for o in spans)]
+
+    def _stored(self, name: str, parts: list[int]) -> DataFrame:
+        """Rows of the stored table in the given parts."""
+        dirs = []
+        for first, last in self._batches():
+            at = f"batches/{first:08d}-{last:08d}/{name}"
+            where, fs = self._fs(at)
+            there = {x.getPath().getName() for x in fs.listStatus(where)} if fs.exists(where) else set()
+            dirs += [f"{self.path}/{at}/part={p}" for p in parts if f"part={p}" in there]
+        schema = TABLES[name]
+        return self.spark.read.schema(schema).parquet(*dirs) if dirs else self.spark.createDataFrame([], schema)
+
+    def _part(self, key: str) -> Column:
+        return F.pmod(F.col(key), F.lit(self.parts)).cast("int")
+
+    def _meet(self, probes: DataFrame, key: str, name: str, stored_key: str) -> DataFrame:
+        """``probes`` joined with the stored rows of the same key.
+
+        Probes of a checked number (PROBES rows at most) are broadcast to the scan of their parts, in
+        a few groups of parts; more than that, or of one part, are joined by a shuffle."""
+        if not self._batches():
+            return probes.join(self._stored(name, []), F.col(key) == F.col(stored_key))
+        counts = {r["part"]: r["n"] for r in probes.groupBy(self._part(key).alias("part")).agg(F.count("*").alias("n")).collect()}
+        groups: list[list[int]] = []
+        room = 0
+        for p in sorted(counts):
+            if counts[p] > room:
+                groups.append([])
+                room = PROBES
+            groups[-1].append(p)
+            room -= counts[p]
+        small = len(groups) <= GROUPS and max(counts.values(), default=0) <= PROBES
+        out = None
+        for g in groups if small else [sorted(counts)]:
+            mine = probes.where(self._part(key).isin(g)) if len(groups) > 1 and small else probes
+            got = self._stored(name, g).join(F.broadcast(mine) if small else mine, F.col(key) == F.col(stored_key))
+            out = got if out is None else out.union(got)
+        return out if out is not None else probes.join(self._stored(name, []), F.col(key) == F.col(stored_key))
+
+    def _open(self, batch: DataFrame) -> None:
         """Take the order of the stored segments; of an empty folder, make and store it."""
-        made = self._read("order", ORDER).collect()
-        if made:
-            (o,) = made
+        where, fs = self._fs("order")
+        if fs.exists(where):
+            (o,) = self.spark.read.schema(ORDER).parquet(f"{self.path}/order").collect()
             if (o["t"], o["bits"]) != (self.t, simjoin.BITS):
                 raise ValueError(f"the index was made with t = {o['t']} and {o['bits']} bits, not {self.t} and {simjoin.BITS}")
-            freq = np.zeros(1 << o["bits"], np.int64)
-            freq[np.array(o["bucket"], np.int64)] = o["n"]
-            self.freq, self.hot = freq, o["hot"]
+            self.order, self.hot, self.parts = simjoin.Order(np.frombuffer(o["codes"], np.uint8), o["rows"]), o["hot"], o["parts"]
             return
-        if not self._read("segments", simjoin.SEGMENTS).isEmpty():
+        if self._batches():
             raise ValueError(f"the segments in {self.path} have no stored order, so nothing new can meet them; make the index again")
-        freq = simjoin.frequencies(batch, text_col, 1)
-        at = np.flatnonzero(freq)
-        one = self.spark.createDataFrame([(self.t, simjoin.BITS, self.hot, at.tolist(), freq[at].tolist())], ORDER)
+        self.order = simjoin.frequencies(batch, "tokens", 1)
+        self.parts = min(MOST_PARTS, max(1, round(self.order.rows / PART_ROWS)))
+        one = self.spark.createDataFrame([(self.t, simjoin.BITS, self.hot, self.order.rows, self.parts, bytearray(self.order.codes.tobytes()))], ORDER)
         one.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/order")
-        self.freq = freq
-
-    def offer(self, batch: DataFrame, id_col: str = "row_id", batch_col: str = "batch_no", path_col: str = "filepath", text_col: str = "description") -> DataFrame:
-        """``id, batch`` of the batch's cases; its accepted rows are appended to the index."""
-        if self.freq is None:
-            self._open(batch, text_col)
-        rows = materialize(base_rows(batch, id_col, batch_col, path_col, text_col))
-        keys = self._read("rows", "path long, set_id long")
-        old = self._read("segments", simjoin.SEGMENTS)
-        sets = self._read("sets", "id long, tokens array<long>")
-        mine = materialize(simjoin.segments(batch, text_col, 1, self.t, self.freq, self.hot))
-        met = materialize(simjoin.candidates(mine, self.t, old).union(simjoin.candidates(mine, self.t)).distinct())
-        here = simjoin.sets_of(batch, text_col, 1, rows.where("set_id is not null").select(F.col("set_id").alias("id")).distinct())
-        known = materialize(here)
-        every = known.unionByName(sets).dropDuplicates(["id"])
-        pairs = met.join(every.select(F.col("id").alias("id_a"), F.col("tokens").alias("x")), "id_a").join(every.select(F.col("id").alias("id_b"), F.col("tokens").alias("y")), "id_b")
-        overlap = F.size(F.array_intersect("x", "y"))
-        links = materialize(_links(pairs.where(overlap >= F.lit(self.t) * (F.size("x") + F.size("y") - overlap) - simjoin.EPS)))
-        gone = keys.where("set_id is not null").select("set_id").distinct()
-        gone = gone.union(links.join(gone, F.col("a") == F.col("set_id")).select("b")).distinct()
-        fresh = materialize(rows.join(keys.where("path is not null").select("path").distinct(), "path", "left_anti").join(gone, "set_id", "left_anti").select("id", "batch", "path", "set_id"))
-        inner = resolve(fresh, links)
-        accepted = materialize(_without(fresh, inner))
-        cases = materialize(_without(rows, accepted).select("id", "batch"))
-        kept = accepted.where("set_id is not null").select(F.col("set_id").alias("id")).distinct()
-        accepted.select("path", "set_id").write.mode("append").parquet(f"{self.path}/rows")
-        mine.join(kept, "id", "left_semi").dropDuplicates(["key", "id"]).select(*mine.columns).write.mode("append").parquet(f"{self.path}/segments")
-        known.join(kept, "id", "left_semi").write.mode("append").parquet(f"{self.path}/sets")
-        return cases
+
+    def _append(self, tables: dict[str, DataFrame], span: tuple[int, int]) -> None:
+        """Write the tables aside, then make them visible by one rename."""
+        aside = f"aside/{uuid.uuid4().hex}"
+        for name, df in tables.items():
+            key = TABLES[name].split()[0]
+            df.withColumn("part", self._part(key)).write.partitionBy("part").option("compression", "zstd").parquet(f"{self.path}/{aside}/{name}")
+        made, fs = self._fs(aside)
+        there, _ = self._fs("batches")
+        fs.mkdirs(there)
+        if not fs.rename(made, self._fs("batches", "{:08d}-{:08d}".format(*span))[0]):
+            raise OSError(f"{self.path}/{aside} can't be renamed; another job may have appended a batch")
+
+    def merge(self) -> None:
+        """Write all visible batches as one. Readers see either them or it."""
+        old = self._batches()
+        if len(old) > 1:
+            every = list(range(self.parts))
+            self._append({name: self._stored(name, every).repartition(self.parts, self._part(schema.split()[0])) for name, schema in TABLES.items()}, (old[0][0], old[-1][1]))
+            for span in old:
+                where, fs = self._fs("batches", "{:08d}-{:08d}".format(*span))
+                fs.delete(where, True)
+
+    def offer(self, batch: DataFrame, id_col: str = "row_id", batch_col: str = "batch_no", path_col: str = "filepath", text_col: str = "description", prepared: bool = False) -> DataFrame:
+        """``id, batch`` of the batch's cases; its accepted rows are appended to the index.
+
+        ``prepared`` batches come from :func:`prepare`. Several batches offered at once are taken in order of batch and id."""
+        rows = batch.select(*PREPARED) if prepared else materialize(prepare(batch, id_col, batch_col, path_col, text_col))
+        if self.order is None:
+            self._open(rows)
+        tokens = rows.where("set_id is not null").select(F.col("set_id").alias("id"), "tokens")
+        mine = materialize(simjoin.segments(tokens, "tokens", 1, self.t, self.order, self.hot))
+        slim = rows.select("id", "batch", "path", "set_id")
+        dead = self._repeats(slim, tokens, mine)
+        state = slim
+        if dead is not None:
+            for kind, col in ((PATH, "path"), (SET, "set_id")):
+                hit = dead.where(F.col("kind") == kind).select(F.col("key").alias(col), F.lit(True).alias(f"dead_{col}"))
+                state = state.join(hit, col, "left")
+            state = materialize(state.select("id", "batch", "path", "set_id", F.coalesce("dead_path", "dead_set_id", F.lit(False)).alias("dead")))
+            fresh = state.where("not dead").select(*slim.columns)
+        else:
+            fresh = state
+        links = materialize(_links(simjoin.verified(simjoin.with_tokens(simjoin.candidates(mine, self.t), tokens.dropDuplicates(["id"])), self.t)))
+        inner = materialize(resolve(fresh, links))
+        accepted = _without(fresh, inner)
+        gone = _without(slim, accepted) if dead is None else _without(fresh, inner, "left_semi").unionByName(state.where("dead").select(*slim.columns))
+        gone = materialize(gone)
+        kept = accepted.where("set_id is not null").select(F.col("set_id").alias("id"))
+        # sets of which no row was accepted
+        lost = gone.where("set_id is not null").select(F.col("set_id").alias("id")).distinct().join(kept, "id", "left_anti")
+        known = accepted.select(F.explode(F.array(_known(PATH, "path"), _known(SET, "set_id"))).alias("k")).select("k.*").where("key is not null").distinct()
+        last = max((b for _, b in self._batches()), default=-1)
+        once = lambda df, *by: df.join(lost, "id", "left_anti").dropDuplicates(list(by))
+        self._append({"segments": once(mine, "key", "id"), "sets": once(tokens, "id"), "known": known}, (last + 1, last + 1))
+        release(mine)
+        if len(self._batches()) >= MERGE:
+            self.merge()
+        return gone.select("id", "batch")
+
+    def _repeats(self, rows: DataFrame, tokens: DataFrame, mine: DataFrame) -> DataFrame | None:
+        """``kind, key`` of the batch's sets and paths that repeat a stored one; None if nothing is stored."""
+        if not self._batches():
+            return None
+        keys = rows.select(F.explode(F.array(_known(PATH, "path"), _known(SET, "set_id"))).alias("k")).select("k.*").where("key is not null").distinct()
+        asked = materialize(keys.select(F.col("kind").alias("my_kind"), F.col("key").alias("my_key")))
+        same = self._meet(asked, "my_key", "known", "key").where(F.col("kind") == F.col("my_kind")).select("kind", "key")
+        side = lambda end: {c: F.col(c + end) for c in ("size", "place", "sketch")}
+        asks = mine.select(F.col("key").alias("my_key"), F.col("id").alias("id_a"), *(F.col(c).alias(c + "_a") for c in ("size", "place", "sketch", "lead")))
+        smaller = F.col("lead_a") & (F.col("size_a") <= F.col("size")) | F.col("lead") & (F.col("size") <= F.col("size_a"))
+        stored = {c: F.col(c) for c in ("size", "place", "sketch")}
+        near = self._meet(asks, "my_key", "segments", "key").where((F.col("id") != F.col("id_a")) & smaller & simjoin.met(side("_a"), stored, self.t))
+        near = materialize(near.select("id_a", F.col("id").alias("id_b")).distinct())
+        others = self._meet(near.select(F.col("id_b").alias("wanted")).distinct(), "wanted", "sets", "id").select("id", "tokens")
+        alike = simjoin.verified(simjoin.with_tokens(near, tokens.dropDuplicates(["id"]), others), self.t)
+        return materialize(same.union(alike.select(F.lit(SET), F.col("id_a"))).distinct())
+
+
+def _known(kind: int, key: str) -> Column:
+    return F.struct(F.lit(kind).alias("kind"), F.col(key).alias("key"))
 
 
 def offered_rows(df: DataFrame, id_col: str = "row_id", batch_col: str = "batch_no", path_col: str = "filepath", text_col: str = "description", t: float = THRESHOLD) -> DataFrame:
-    """``id, batch`` of the cases of all batches of ``df``, offered in order of batch to an empty :class:`SegmentHistory`; rows without a batch come first."""
+    """``id, batch`` of the cases of all batches of ``df``, offered in order of batch to an empty :class:`SegmentHistory`; rows without a batch come first.
+
+    The batches are prepared together, each into a folder of its own, as they would lie on arrival."""
     spark = df.sparkSession
-    no = F.col(batch_col).cast("long")
-    slim = df.select(id_col, batch_col, path_col, text_col)
-    index = SegmentHistory(spark, f"{shared_dir(spark)}/gaugeworks/{uuid.uuid4().hex}", t)
-    cases = [index.offer(slim.where(no.eqNullSafe(r["no"])), id_col, batch_col, path_col, text_col) for r in df.select(no.alias("no")).distinct().orderBy("no").collect()]
+    where = f"{shared_dir(spark)}/gaugeworks/{uuid.uuid4().hex}"
+    ready = prepare(df, id_col, batch_col, path_col, text_col).withColumn("batch_no", F.col("batch"))
+    ready.write.partitionBy("batch_no").option("compression", "zstd").parquet(f"{where}/prepared")
+    batches = spark.read.schema(ready.schema).parquet(f"{where}/prepared")
+    index = SegmentHistory(spark, f"{where}/index", t)
+    numbers = [r["batch_no"] for r in df.select(F.col(batch_col).cast("long").alias("batch_no")).distinct().orderBy("batch_no").collect()]
+    cases = [index.offer(batches.where(F.col("batch_no").eqNullSafe(no)), id_col, batch_col, path_col, text_col, True) for no in numbers]
     return reduce(DataFrame.union, cases, spark.createDataFrame([], "id long, batch long"))

@@ -6,24 +6,29 @@ sequences is the size of their symmetric difference, so Jaccard >= t is a bounde
 edit distance: at most (1 - t) / (1 + t) of the two lengths together.
 
 At most k = n - ceil(t * n) tokens of a sequence of length n may be missing in any
-partner, and fewer in one that isn't smaller. Cut into k + 1 segments - the k rarest tokens one by one and the tail, known
-by its head - one segment survives in every partner (pigeonhole), and it stands among
-the partner's own k + 1. So each set stores its k + 1 segments; two sets meet where
-they share one. A segment whose token is frequent is stored with each following
-token of the k + 2 rarest instead: two similar sets share two of those. That
-keeps hot tokens from forming hot buckets and loses no pair.
-
-Met pairs are filtered by length and by a 64-bit parity sketch (each differing token
-flips one bit, so more flipped bits than the bound prove a larger distance), then
-verified exactly: over sorted sequences without repeats the banded dynamic programme
-has one path, the merge, which ``array_intersect`` counts.
-
-The order needs frequencies only to be selective, not to be right, so they are kept
-in a table of 2**BITS hashed counters, of the same size for any input."""
+partner, and fewer in one that isn't smaller. So the j-th token that two similar
+sequences share stands among the first k + j of either (pigeonhole), and each sequence
+stores as segments what may be the first tokens it shares with a partner: a token of
+the first k + 1 alone if it's rare; behind a frequent one the second token (of the first
+k + 2), and behind a frequent pair the third. Frequent means more than HOT rows
+expected. That keeps hot tokens from forming hot buckets and loses no pair.
+
+A segment is stored with the length of its sequence and its position there. What
+follows the first shared token bounds the overlap, so only segments at allowed positions of
+sequences of allowed lengths meet. They are filtered by a 64-bit parity sketch (each
+differing token flips one bit, so more flipped bits than the bound prove a larger
+distance), then verified exactly: over sorted sequences without repeats the banded
+dynamic programme has one path, the merge, which ``array_intersect`` counts.
+
+The order needs frequencies only to be selective, not to be right, so they are kept in
+a table of hashed counters, sized by the number of rows (2**BITS to 2**MOST_BITS), one
+byte each: eighths of the logarithm."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -34,28 +39,80 @@ from gaugeworks.llm.tokens import _MULT, mix, set_hash, token_sets
 from gaugeworks.session import materialize
 
 BITS = 17
+MOST_BITS = 24
 HOT = 3000
-FILTER_BITS = 24
+DEPTH = 3
+BLOCK = 1 << 16
+FILTER_BITS = 28
 SEEN = 1 << 20
 EPS = 1e-9
-SEGMENTS = "key long, id long, size int, sketch long, lead boolean"
+SEGMENTS = "key long, id long, size int, place int, sketch long, lead boolean"
+
+
+@dataclass(frozen=True)
+class Order:
+    """How frequent the tokens of each hashed bucket are, in eighths of log2(1 + rows), and the number of rows counted."""
+
+    codes: np.ndarray
+    rows: int
+
+    def of(self, h: np.ndarray) -> np.ndarray:
+        bits = int(len(self.codes)).bit_length() - 1
+        return self.codes[(h >> np.uint64(64 - bits)).astype(np.int64)]
+
+
+def tokens_of(column: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct tokens and their rows, ordered by row and hash: of texts, or of lists that hold them already."""
+    if not pa.types.is_list(column.type):
+        return token_sets(column, shingle)
+    rows = np.repeat(np.arange(len(column)), np.asarray(column.value_lengths().fill_null(0)))
+    return np.asarray(column.flatten()).view(np.uint64), rows
 
 
-def frequencies(df: DataFrame, text: str, shingle: int) -> np.ndarray:
-    """How many rows hold a token of each hashed bucket, over all rows."""
+def frequencies(df: DataFrame, text: str, shingle: int) -> Order:
+    """The order of the tokens of a column of texts or token lists, from counts over all its rows.
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << BITS, np.int64)
+    Each task counts into dense blocks, which are summed block by block: what is
+    shuffled is the counters of each task, whatever the rows hold."""
+    source = df.select(text)
+    n = source.count()
+    bits = min(MOST_BITS, max(BITS, math.ceil(math.log2(max(n, 1) * 256 / 3000))))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        total = np.zeros(1 << bits, np.uint32)
         for b in batches:
-            h, _ = token_sets(b.column(0), shingle)
-            total += np.bincount((h >> np.uint64(64 - BITS)).astype(np.int64), minlength=1 << BITS)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["bucket", "n"])
-
-    rows = df.select(text).mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros(1 << BITS, np.int64)
-    out[rows["bucket"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
-    return out
+            h, _ = tokens_of(b.column(0), shingle)
+            np.add.at(total, (h >> np.uint64(64 - bits)).astype(np.int64), np.uint32(1))
+        return total
+
+    return Order(_summed(source, count, lambda x: np.minimum(np.round(8 * np.log2(1.0 + x)), 255).astype(np.uint8), np.add), n)
+
+
+def _summed(df: DataFrame, fill, finish, add: np.ufunc) -> np.ndarray:
+    """An array that each task fills from its batches, put together block by block with ``add``; ``finish`` makes bytes of the entries."""
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        x = fill(batches)
+        parts = x.reshape(-1, min(BLOCK, len(x)))
+        at = np.unique(np.r_[0, len(parts) - 1, np.flatnonzero(parts.any(axis=1))])
+        for i in at:
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([parts[i].tobytes()], pa.binary()), pa.array([x.dtype.str])], names=["block", "n", "kind"])
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for b in batches:
+            for at, n, kind in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist()):
+                x = np.frombuffer(n.as_buffer(), kind)
+                sums[at] = add(sums[at], x) if at in sums else x.astype(np.uint64) if add is np.add else x
+        done = [finish(x).tobytes() for x in sums.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(done, pa.binary())], names=["block", "n"])
+
+    rows = df.mapInArrow(blocks, "block int, n binary, kind string").repartition("block").mapInArrow(join, "block int, n binary").collect()
+    size = len(rows[0]["n"]) if rows else 1
+    out = np.zeros((max((r["block"] for r in rows), default=0) + 1, size), np.uint8)
+    for r in rows:
+        out[r["block"]] = np.frombuffer(r["n"], np.uint8)
+    return out.ravel()
 
 
 def need(t: float, n: np.ndarray) -> np.ndarray:
@@ -63,73 +120,102 @@ def need(t: float, n: np.ndarray) -> np.ndarray:
     return np.ceil(t * n - EPS).astype(np.int64)
 
 
-def _segments(h: np.ndarray, r: np.ndarray, n_rows: int, freq: np.ndarray, t: float, limit: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of distinct tokens ordered by row and hash: segment keys, the row of each, and whether it's among those needed towards partners of the same size or larger. Tokens of more than ``limit`` rows (HOT) are hot."""
+def _cut(h: np.ndarray, r: np.ndarray, n_rows: int, order: Order, t: float, limit: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of distinct tokens ordered by row and hash: segment keys, the row of each, whether it's among those needed towards partners of the same size or larger, and its position."""
     limit = HOT if limit is None else limit
-    f = np.minimum(freq[(h >> np.uint64(64 - BITS)).astype(np.int64)], (1 << 20) - 1)
-    if n_rows <= 1 << 14:  # h is ordered within each row, and a stable sort leaves it so among ties
-        key = (r.astype(np.uint64) << np.uint64(50)) | (f.astype(np.uint64) << np.uint64(30)) | (h >> np.uint64(34))
-        order = np.argsort(key, kind="stable")
+    codes = order.of(h)
+    if n_rows <= 1 << 14:
+        at = np.argsort((r.astype(np.uint64) << np.uint64(50)) | (codes.astype(np.uint64) << np.uint64(42)) | (h >> np.uint64(22)), kind="stable")
     else:
-        order = np.lexsort((h, f, r))
-    h, r, f = h[order], r[order], f[order]
+        at = np.lexsort((h, codes, r))
+    h, r, log = h[at], r[at], codes[at] / 8.0
     sizes = np.bincount(r, minlength=n_rows)
     start = np.cumsum(sizes) - sizes
     place = np.arange(len(h)) - start[r]
-    k1 = (sizes - need(t, sizes) + 1)[r]
-    k0 = (sizes - need(2 * t / (1 + t), sizes) + 1)[r]
-    head = (place < k1) & (sizes[r] > 1)
-    cool = head & (f <= limit)
-    keys, rows, lead = [h[cool]], [r[cool]], [(place < k0)[cool]]
-    hot = np.flatnonzero(head & (f > limit))
-    step = 1
-    while len(hot):
-        other = hot + step
-        last = start[r[hot]] + np.minimum(k1[hot] + 1, sizes[r[hot]])
-        hot, other = hot[other < last], other[other < last]
-        keys.append(mix(h[hot] * _MULT + h[other]))
-        rows.append(r[hot])
-        lead.append((place[hot] < k0[hot]) & (place[other] < k0[hot] + 1))
-        step += 1
-    return np.concatenate(keys), np.concatenate(rows), np.concatenate(lead)
-
-
-def segments(df: DataFrame, text: str, shingle: int, t: float, freq: np.ndarray, limit: int | None = None) -> DataFrame:
-    """``key, id, size, sketch, lead``: the stored segments of each distinct set.
-
-    Only segments made with the same ``t``, ``freq`` and ``limit`` (HOT) meet."""
+    least = need(t, sizes)
+    k1 = sizes - least + 1
+    k0 = sizes - need(2 * t / (1 + t), sizes) + 1
+    all_rows, most = math.log2(max(order.rows, 1)), math.log2(limit) if limit > 0 else -math.inf
+    last = np.flatnonzero((place < k1[r]) & (sizes[r] > 1))
+    first, key, expected, lead = last, h[last], log[last], (place < k0[r])[last]
+    out: list[tuple[np.ndarray, ...]] = []
+    for depth in range(1, DEPTH + 1):
+        hot = expected > most
+        row = r[last]
+        done = ~hot | (depth >= least[row]) | (depth == DEPTH)
+        out.append((key[done], row[done], lead[done], place[first[done]]))
+        if depth == DEPTH:
+            break
+        first, last, key, expected, lead, row = (x[hot] for x in (first, last, key, expected, lead, row))
+        more = np.maximum(start[row] + np.minimum(k1[row] + depth, sizes[row]) - last - 1, 0)
+        of = np.repeat(np.arange(len(last)), more)
+        last = np.arange(len(of)) - np.repeat(np.cumsum(more) - more, more) + last[of] + 1
+        first, key = first[of], mix(key[of] * _MULT + h[last])
+        expected = expected[of] + log[last] - all_rows
+        lead = lead[of] & (place[last] < k0[r[last]] + depth)
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def _segments(h: np.ndarray, r: np.ndarray, n_rows: int, order: Order, t: float, limit: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The segments of :func:`_cut` without their positions."""
+    return _cut(h, r, n_rows, order, t, limit)[:3]
+
+
+def segments(df: DataFrame, text: str, shingle: int, t: float, order: Order, limit: int | None = None) -> DataFrame:
+    """``key, id, size, place, sketch, lead``: the stored segments of each distinct set of a column of texts or token lists.
+
+    Only segments made with the same ``t``, ``order`` and ``limit`` (HOT) meet."""
     limit = HOT if limit is None else limit
-    shared = df.sparkSession.sparkContext.broadcast(freq)
+    shared = df.sparkSession.sparkContext.broadcast(order)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
-        table = shared.value
         for b in batches:
             n = b.num_rows
-            h, r = token_sets(b.column(0), shingle)
+            h, r = tokens_of(b.column(0), shingle)
             ids, sizes = set_hash(h, r, n)
-            fresh = np.ones(n, bool)
-            for i, key in enumerate(ids.tolist()):  # copies within a partition store nothing again
-                fresh[i] = key not in seen
-                seen.add(key)
-            if len(seen) > SEEN:
-                seen.clear()
-            of = fresh[r]
+            of = _fresh(ids, seen)[r]
             h, r = h[of], r[of]
             if not len(h):
                 continue
             sketch = np.zeros(n, np.uint64)
             first = np.flatnonzero(np.r_[True, r[1:] != r[:-1]])
             sketch[r[first]] = np.bitwise_xor.reduceat(np.uint64(1) << (h & np.uint64(63)), first)
-            keys, rows, lead = _segments(h, r, n, table, t, limit)
+            keys, rows, lead, place = _cut(h, r, n, shared.value, t, limit)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.view(np.int64)), pa.array(ids[rows].view(np.int64)), pa.array(sizes[rows].astype(np.int32)), pa.array(sketch[rows].view(np.int64)), pa.array(lead)],
-                names=["key", "id", "size", "sketch", "lead"],
+                [pa.array(keys.view(np.int64)), pa.array(ids[rows].view(np.int64)), pa.array(sizes[rows].astype(np.int32)), pa.array(place.astype(np.int32)), pa.array(sketch[rows].view(np.int64)), pa.array(lead)],
+                names=["key", "id", "size", "place", "sketch", "lead"],
             )
 
     return df.select(text).mapInArrow(emit, SEGMENTS)
 
 
+def _fresh(ids: np.ndarray, seen: set) -> np.ndarray:
+    """Which rows hold an id not in ``seen`` yet, the first of each; ``seen`` takes them up. It's emptied at SEEN: copies only cost, they do no harm."""
+    names, first = np.unique(ids, return_index=True)
+    new = set(names.tolist()) - seen
+    seen |= new
+    if len(seen) > SEEN:
+        seen.clear()
+    out = np.zeros(len(ids), bool)
+    out[first] = np.fromiter((x in new for x in names.tolist()), bool, len(names))
+    return out
+
+
+def met(a: Column, b: Column, t: float) -> Column:
+    """Whether segments (structs of ``size, place, sketch``) that share a key stand at allowed lengths and positions with sketches near enough."""
+    total = a["size"] + b["size"]
+    overlap = overlap_needed(t, a["size"], b["size"])
+    fits = F.least(a["size"] - a["place"], b["size"] - b["place"]) >= overlap
+    return fits & (F.bit_count(a["sketch"].bitwiseXOR(b["sketch"])) <= total - 2 * overlap)
+
+
+def verified(pairs: DataFrame, t: float) -> DataFrame:
+    """``id_a, id_b, overlap, size_a, size_b`` of the pairs (with ``tokens_a, tokens_b``) that are similar."""
+    counted = pairs.select("id_a", "id_b", F.size(F.array_intersect("tokens_a", "tokens_b")).alias("overlap"), F.size("tokens_a").alias("size_a"), F.size("tokens_b").alias("size_b"))
+    return counted.where(F.col("overlap") >= F.lit(t) * (F.col("size_a") + F.col("size_b") - F.col("overlap")) - EPS)
+
+
 def overlap_needed(t: float, a: Column, b: Column) -> Column:
     return F.ceil(F.lit(t / (1 + t)) * (a + b) - F.lit(EPS))
 
@@ -142,7 +228,7 @@ def candidates(stored: DataFrame, t: float, other: DataFrame | None = None) -> D
     set the leading segments are enough."""
 
     def once(x: DataFrame, end: str) -> DataFrame:
-        first = [F.first(c).alias(c + end) for c in ("size", "sketch")]
+        first = [F.first(c).alias(c + end) for c in ("size", "place", "sketch")]
         return x.repartition("key").groupBy("key", F.col("id").alias("id" + end)).agg(*first, F.max("lead").alias("lead" + end))
 
     a, b = once(stored, "_a"), once(stored if other is None else other, "_b")
@@ -151,39 +237,33 @@ def candidates(stored: DataFrame, t: float, other: DataFrame | None = None) -> D
         a, b = a.where("lead_a"), b.where("lead_b is not null")  # both sides read the same columns, so they share one exchange
     else:
         smaller = smaller | F.col("lead_b") & (F.col("size_b") <= F.col("size_a"))
-    total = F.col("size_a") + F.col("size_b")
-    bound = total - 2 * overlap_needed(t, F.col("size_a"), F.col("size_b"))
-    fits = (F.least("size_a", "size_b") >= F.lit(t) * F.greatest("size_a", "size_b") - EPS) & (F.bit_count(F.col("sketch_a").bitwiseXOR(F.col("sketch_b"))) <= bound)
-    met = a.join(b, "key").where((F.col("id_a") != F.col("id_b")) & smaller & fits)
+    side = lambda end: {c: F.col(c + end) for c in ("size", "place", "sketch")}
+    pairs = a.join(b, "key").where((F.col("id_a") != F.col("id_b")) & smaller & met(side("_a"), side("_b"), t))
     if other is None:
-        met = met.select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"))
-    return met.select("id_a", "id_b").distinct()
+        pairs = pairs.select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"))
+    return pairs.select("id_a", "id_b").distinct()
 
 
-def _in_filter(ids: DataFrame) -> np.ndarray:
-    """A bit set of fixed size over hashed ids."""
+def _in_filter(ids: DataFrame, bits: int) -> np.ndarray:
+    """A packed set of 2**bits bits over hashed ids."""
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(1 << FILTER_BITS, bool)
+    def place(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        out = np.zeros(1 << bits, bool)
         for b in batches:
-            bits[_slot(b.column(0).to_numpy().view(np.uint64))] = True
-        packed = np.packbits(bits)
-        at = np.flatnonzero(packed)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(packed[at].astype(np.int16))], names=["at", "bits"])
-
-    rows = ids.mapInArrow(place, "at int, bits short").groupBy("at").agg(F.bit_or("bits").alias("bits")).toPandas()
-    out = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
-    out[rows["at"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.uint8)
-    return out
+            out[_slot(b.column(0).to_numpy().view(np.uint64), bits)] = True
+        return np.packbits(out)
 
+    return _summed(ids, place, lambda x: x, np.bitwise_or)
 
-def _slot(ids: np.ndarray) -> np.ndarray:
-    return (mix(ids) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
 
+def _slot(ids: np.ndarray, bits: int) -> np.ndarray:
+    return (mix(ids) >> np.uint64(64 - bits)).astype(np.int64)
 
-def sets_of(df: DataFrame, text: str, shingle: int, ids: DataFrame) -> DataFrame:
-    """``id, tokens``: the sets named in ``ids`` (and few others: those the fixed-size filter lets through)."""
-    shared = df.sparkSession.sparkContext.broadcast(_in_filter(ids))
+
+def sets_of(df: DataFrame, text: str, shingle: int, ids: DataFrame, n: int) -> DataFrame:
+    """``id, tokens``: the sets named in ``ids``, at most ``n`` (and few others: those that a filter of 16 bits an id lets through)."""
+    bits = min(FILTER_BITS, max(16, math.ceil(math.log2(16 * max(n, 1)))))
+    shared = df.sparkSession.sparkContext.broadcast(_in_filter(ids, bits))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
@@ -191,13 +271,10 @@ def sets_of(df: DataFrame, text: str, shingle: int, ids: DataFrame) -> DataFrame
         for b in batches:
             h, r = token_sets(b.column(0), shingle)
             key, sizes = set_hash(h, r, b.num_rows)
-            slot = _slot(key)
+            slot = _slot(key, bits)
             wanted = ((packed[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1).astype(bool) & (sizes > 0)
-            for i in np.flatnonzero(wanted):
-                wanted[i] = key[i] not in seen
-                seen.add(key[i])
-            if len(seen) > SEEN:
-                seen.clear()
+            some = np.flatnonzero(wanted)
+            wanted[some] = _fresh(key[some], seen)
             of = wanted[r]
             offsets = np.r_[0, np.cumsum(sizes[wanted])].astype(np.int32)
             yield pa.RecordBatch.from_arrays(
@@ -214,25 +291,31 @@ def similar_sets(df: DataFrame, text: str, t: float, shingle: int = 1, side: str
     wordless texts have no set and no pair; repeated texts share one set."""
     if not 0.5 < t <= 1:
         raise ValueError("t must be above 0.5, so that similar sets of two tokens or more share two")
-    freq = frequencies(df, text, shingle)
-    stored = [segments(x, text, shingle, t, freq) for x in ([df] if side is None else [df.where(F.col(side) == 0), df.where(F.col(side) == 1)])]
-    met = materialize(candidates(stored[0], t, *stored[1:]))
-    ids = met.select(F.explode(F.array("id_a", "id_b")).alias("id")).distinct()
-    sets = materialize(sets_of(df, text, shingle, ids))
-    pairs = met.join(sets.select(F.col("id").alias("id_a"), F.col("tokens").alias("tokens_a")), "id_a").join(sets.select(F.col("id").alias("id_b"), F.col("tokens").alias("tokens_b")), "id_b")
-    pairs = pairs.select("id_a", "id_b", F.size(F.array_intersect("tokens_a", "tokens_b")).alias("overlap"), F.size("tokens_a").alias("size_a"), F.size("tokens_b").alias("size_b"))
-    return pairs.where(F.col("overlap") >= F.lit(t) * (F.col("size_a") + F.col("size_b") - F.col("overlap")) - EPS)
-
-
-def set_ids(df: DataFrame, text: str, shingle: int, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` and ``set_id``: the hash of the row's set, null without any token."""
+    order = frequencies(df, text, shingle)
+    stored = [segments(x, text, shingle, t, order) for x in ([df] if side is None else [df.where(F.col(side) == 0), df.where(F.col(side) == 1)])]
+    pairs = materialize(candidates(stored[0], t, *stored[1:]))
+    ids = pairs.select(F.explode(F.array("id_a", "id_b")).alias("id"))
+    return verified(with_tokens(pairs, materialize(sets_of(df, text, shingle, ids, 2 * pairs.count()))), t)
+
+
+def with_tokens(pairs: DataFrame, a: DataFrame, b: DataFrame | None = None) -> DataFrame:
+    """``pairs`` with ``tokens_a`` of ``a`` and ``tokens_b`` of ``b`` (or ``a`` too), both ``id, tokens``."""
+    b = a if b is None else b
+    return pairs.join(a.select(F.col("id").alias("id_a"), F.col("tokens").alias("tokens_a")), "id_a").join(b.select(F.col("id").alias("id_b"), F.col("tokens").alias("tokens_b")), "id_b")
+
+
+def set_ids(df: DataFrame, text: str, shingle: int, keep: list[str], with_tokens: bool = False) -> DataFrame:
+    """The columns ``keep`` and ``set_id``: the hash of the row's set, null without any token; and its ``tokens`` if asked for."""
     fields = [df.schema[c] for c in keep]
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             h, r = token_sets(b.column(len(keep)), shingle)
             ids, sizes = set_hash(h, r, b.num_rows)
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(ids.view(np.int64), mask=sizes == 0)], names=[*keep, "set_id"])
+            out = [*b.columns[: len(keep)], pa.array(ids.view(np.int64), mask=sizes == 0)]
+            if with_tokens:
+                out.append(pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), pa.array(h.view(np.int64))))
+            yield pa.RecordBatch.from_arrays(out, names=[*keep, "set_id", *["tokens"] * with_tokens])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", set_id long"
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", set_id long" + ", tokens array<long>" * with_tokens
     return df.select(*keep, text).mapInArrow(emit, schema)
