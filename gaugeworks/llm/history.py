@@ -28,10 +28,11 @@ from gaugeworks.session import materialize, release, shared_dir
 
 THRESHOLD = 0.7
 ORDER = "t double, bits int, hot long, rows long, parts int, codes binary"
-TABLES = {"segments": simjoin.SEGMENTS, "sets": "id long, tokens array<long>", "known": "key long, kind int"}
+TABLES = {"segments": simjoin.SEGMENTS, "sets": "id long, tokens binary"}
 PREPARED = ("id", "batch", "path", "set_id", "tokens")
-PATH, SET = 0, 1
-PROBES = 600_000
+# what stands for the size of a segment that is no part of a sequence but a whole set, or a path
+WHOLE, PATH = 0, -1
+PROBES = 500_000
 GROUPS = 16
 PART_ROWS = 300_000
 MOST_PARTS = 4096
@@ -69,8 +70,7 @@ def resolve(rows: DataFrame, links: DataFrame) -> DataFrame:
     linked = rows.where("set_id is not null").join(near, "set_id", "left_semi").select("id", "batch", "path", "set_id")
     contested = materialize(shared.union(linked).distinct().withColumn("o", F.struct("batch", "id")))
     # of rows with the same path and the same set only the first can be accepted
-    undecided = materialize(contested.groupBy("path", "set_id").agg(F.min("o").alias("o")))
-    first = undecided
+    undecided = first = materialize(contested.groupBy("path", "set_id").agg(F.min("o").alias("o")))
     accepted = []
     while not undecided.isEmpty():
         by_path = undecided.where("path is not null").groupBy("path").agg(F.min("o").alias("min_path"))
@@ -101,14 +101,15 @@ def repeated_rows(df: DataFrame, id_col: str = "row_id", batch_col: str = "batch
 class SegmentHistory:
     """Accepted rows as append-only tables in a shared folder.
 
-    ``batches/<first>-<last>`` holds what those offers appended: ``segments``, ``sets``
-    (the tokens of each set) and ``known`` (sets and paths by key), each split by key
-    into the same number of parts. A batch is written aside and becomes visible by one
+    ``batches/<first>-<last>`` holds what those offers appended: ``segments`` (those of
+    each set, the set as a whole, and the paths) and ``sets`` (the tokens of each set),
+    both split by key into the same number of parts. A batch is written aside and becomes visible by one
     rename, whole or not at all; after MERGE batches they are merged into one.
 
     What a batch probes goes to the executors that hold the parts it falls into: the
     stored tables are read there, but neither shuffled nor sorted. So a batch costs a scan of
-    the parts it probes, and shuffles only rows of its own.
+    the parts it probes, and shuffles only rows of its own. A batch as large as the
+    history is joined with it by a shuffle instead.
 
     The token order, which tokens are hot and the number of parts are fixed when the index is
     made, from the first batch (any order is right; new tokens count as rare), and stand
@@ -146,14 +147,13 @@ class SegmentHistory:
     def _part(self, key: str) -> Column:
         return F.pmod(F.col(key), F.lit(self.parts)).cast("int")
 
-    def _meet(self, probes: DataFrame, key: str, name: str, stored_key: str) -> DataFrame:
-        """``probes`` joined with the stored rows of the same key.
+    def _meet(self, probes: DataFrame, name: str, stored_key: str) -> DataFrame:
+        """``probes`` joined with the stored rows whose ``stored_key`` is their ``probe``.
 
-        Probes of a checked number (PROBES rows at most) are broadcast to the scan of their parts, in
-        a few groups of parts; more than that, or of one part, are joined by a shuffle."""
-        if not self._batches():
-            return probes.join(self._stored(name, []), F.col(key) == F.col(stored_key))
-        counts = {r["part"]: r["n"] for r in probes.groupBy(self._part(key).alias("part")).agg(F.count("*").alias("n")).collect()}
+        Probes of a checked number (PROBES rows of fixed width at most) are broadcast to the scan of
+        their parts, in a few groups of parts; more than that, or of one part, are joined by a shuffle."""
+        on = lambda stored: F.col("probe") == stored[stored_key]
+        counts = {r["part"]: r["n"] for r in probes.groupBy(self._part("probe").alias("part")).agg(F.count("*").alias("n")).collect()}
         groups: list[list[int]] = []
         room = 0
         for p in sorted(counts):
@@ -162,13 +162,14 @@ class SegmentHistory:
                 room = PROBES
             groups[-1].append(p)
             room -= counts[p]
-        small = len(groups) <= GROUPS and max(counts.values(), default=0) <= PROBES
-        out = None
-        for g in groups if small else [sorted(counts)]:
-            mine = probes.where(self._part(key).isin(g)) if len(groups) > 1 and small else probes
-            got = self._stored(name, g).join(F.broadcast(mine) if small else mine, F.col(key) == F.col(stored_key))
-            out = got if out is None else out.union(got)
-        return out if out is not None else probes.join(self._stored(name, []), F.col(key) == F.col(stored_key))
+        if len(groups) > GROUPS or max(counts.values(), default=0) > PROBES:
+            stored = self._stored(name, sorted(counts))
+            return probes.join(stored, on(stored))
+        found = []
+        for g in groups or [[]]:
+            stored = self._stored(name, g)
+            found.append(stored.join(F.broadcast(probes if len(groups) <= 1 else probes.where(self._part("probe").isin(g))), on(stored)))
+        return reduce(DataFrame.union, found)
 
     def _open(self, batch: DataFrame) -> None:
         """Take the order of the stored segments; of an empty folder, make and store it."""
@@ -216,67 +217,75 @@ class SegmentHistory:
         if self.order is None:
             self._open(rows)
         tokens = rows.where("set_id is not null").select(F.col("set_id").alias("id"), "tokens")
-        mine = materialize(simjoin.segments(tokens, "tokens", 1, self.t, self.order, self.hot))
         slim = rows.select("id", "batch", "path", "set_id")
-        dead = self._repeats(slim, tokens, mine)
-        state = slim
-        if dead is not None:
-            for kind, col in ((PATH, "path"), (SET, "set_id")):
-                hit = dead.where(F.col("kind") == kind).select(F.col("key").alias(col), F.lit(True).alias(f"dead_{col}"))
-                state = state.join(hit, col, "left")
+        exact = [slim.where(f"{c} is not null").select(_exact_key(c, size).alias("key"), F.col(c).alias("id"), F.lit(size).alias("size"), F.lit(0).alias("place"), F.lit(0).cast("long").alias("sketch"), F.lit(True).alias("lead")).distinct() for c, size in (("set_id", WHOLE), ("path", PATH))]
+        mine = materialize(simjoin.segments(tokens, "tokens", 1, self.t, self.order, self.hot).union(exact[0]).union(exact[1]))
+        first = not self._batches()
+        state = slim.withColumn("dead", F.lit(False))
+        if not first:
+            dead = self._repeats(tokens, mine)
+            for size, col in ((PATH, "path"), (WHOLE, "set_id")):
+                state = state.join(dead.where(F.col("size") == size).select(F.col("id").alias(col), F.lit(True).alias(f"dead_{col}")), col, "left")
             state = materialize(state.select("id", "batch", "path", "set_id", F.coalesce("dead_path", "dead_set_id", F.lit(False)).alias("dead")))
-            fresh = state.where("not dead").select(*slim.columns)
-        else:
-            fresh = state
-        links = materialize(_links(simjoin.verified(simjoin.with_tokens(simjoin.candidates(mine, self.t), tokens.dropDuplicates(["id"])), self.t)))
-        inner = materialize(resolve(fresh, links))
-        accepted = _without(fresh, inner)
-        gone = _without(slim, accepted) if dead is None else _without(fresh, inner, "left_semi").unionByName(state.where("dead").select(*slim.columns))
-        gone = materialize(gone)
-        kept = accepted.where("set_id is not null").select(F.col("set_id").alias("id"))
-        # sets of which no row was accepted
-        lost = gone.where("set_id is not null").select(F.col("set_id").alias("id")).distinct().join(kept, "id", "left_anti")
-        known = accepted.select(F.explode(F.array(_known(PATH, "path"), _known(SET, "set_id"))).alias("k")).select("k.*").where("key is not null").distinct()
+        fresh = state.where("not dead").drop("dead")
+        met = simjoin.candidates(mine.where("size > 0"), self.t)
+        links = materialize(_links(simjoin.verified(simjoin.with_tokens(met, tokens.dropDuplicates(["id"])), self.t)))
+        inner = resolve(fresh, links)
+        judged = state.join(inner.select("batch", "id", F.lit(True).alias("inner")), [state["batch"].eqNullSafe(inner["batch"]), state["id"].eqNullSafe(inner["id"])], "left").select(*(state[c] for c in slim.columns), (F.col("dead") | F.coalesce("inner", F.lit(False))).alias("gone"))
+        judged = materialize(judged.distinct())
+        # sets and paths of which no row was accepted
+        lost = [judged.where(f"{c} is not null").groupBy(F.col(c).alias("id")).agg(F.every("gone").alias("gone")).where("gone").select("id", F.lit(size).alias("kind")) for c, size in (("set_id", WHOLE), ("path", PATH))]
+        lost = materialize(lost[0].union(lost[1]))
         last = max((b for _, b in self._batches()), default=-1)
-        once = lambda df, *by: df.join(lost, "id", "left_anti").dropDuplicates(list(by))
-        self._append({"segments": once(mine, "key", "id"), "sets": once(tokens, "id"), "known": known}, (last + 1, last + 1))
+        kind = F.when(F.col("size") == PATH, PATH).otherwise(WHOLE)
+        kept = mine.withColumn("kind", kind).join(lost, ["id", "kind"], "left_anti").drop("kind").dropDuplicates(["key", "id"]).select(*mine.columns)
+        sets = tokens.join(lost.where(F.col("kind") == WHOLE), "id", "left_anti").dropDuplicates(["id"])
+        self._append({"segments": kept, "sets": sets}, (last + 1, last + 1))
         release(mine)
         if len(self._batches()) >= MERGE:
             self.merge()
-        return gone.select("id", "batch")
-
-    def _repeats(self, rows: DataFrame, tokens: DataFrame, mine: DataFrame) -> DataFrame | None:
-        """``kind, key`` of the batch's sets and paths that repeat a stored one; None if nothing is stored."""
-        if not self._batches():
-            return None
-        keys = rows.select(F.explode(F.array(_known(PATH, "path"), _known(SET, "set_id"))).alias("k")).select("k.*").where("key is not null").distinct()
-        asked = materialize(keys.select(F.col("kind").alias("my_kind"), F.col("key").alias("my_key")))
-        same = self._meet(asked, "my_key", "known", "key").where(F.col("kind") == F.col("my_kind")).select("kind", "key")
-        side = lambda end: {c: F.col(c + end) for c in ("size", "place", "sketch")}
-        asks = mine.select(F.col("key").alias("my_key"), F.col("id").alias("id_a"), *(F.col(c).alias(c + "_a") for c in ("size", "place", "sketch", "lead")))
+        return judged.where("gone").select("id", "batch")
+
+    def _repeats(self, tokens: DataFrame, mine: DataFrame) -> DataFrame:
+        """``id, size`` of the batch's sets (WHOLE) and paths (PATH) that repeat a stored one."""
+        asked = mine.select(F.col("key").alias("probe"), *(F.col(c).alias(c + "_a") for c in mine.columns if c != "key"))
+        found = self._meet(asked, "segments", "key")
         smaller = F.col("lead_a") & (F.col("size_a") <= F.col("size")) | F.col("lead") & (F.col("size") <= F.col("size_a"))
-        stored = {c: F.col(c) for c in ("size", "place", "sketch")}
-        near = self._meet(asks, "my_key", "segments", "key").where((F.col("id") != F.col("id_a")) & smaller & simjoin.met(side("_a"), stored, self.t))
-        near = materialize(near.select("id_a", F.col("id").alias("id_b")).distinct())
-        others = self._meet(near.select(F.col("id_b").alias("wanted")).distinct(), "wanted", "sets", "id").select("id", "tokens")
-        alike = simjoin.verified(simjoin.with_tokens(near, tokens.dropDuplicates(["id"]), others), self.t)
-        return materialize(same.union(alike.select(F.lit(SET), F.col("id_a"))).distinct())
+        a, b = ({c: F.col(c + end) for c in ("size", "place", "sketch")} for end in ("_a", ""))
+        near = (F.col("size_a") > 0) & (F.col("size") > 0) & (F.col("id_a") != F.col("id")) & smaller & simjoin.met(a, b, self.t)
+        same = (F.col("size_a") <= 0) & (F.col("size_a") == F.col("size"))
+        met = materialize(found.where(same | near).select("id_a", F.col("id").alias("id_b"), F.least("size_a", F.lit(1)).alias("kind")).distinct())
+        pairs = met.where("kind > 0").select("id_a", "id_b")
+        others = self._meet(pairs.select(F.col("id_b").alias("probe")).distinct(), "sets", "id").select("id", "tokens")
+        alike = simjoin.verified(simjoin.with_tokens(pairs, tokens.dropDuplicates(["id"]), others), self.t)
+        return materialize(met.where("kind <= 0").select(F.col("id_a").alias("id"), F.col("kind").alias("size")).union(alike.select("id_a", F.lit(WHOLE))).distinct())
 
 
-def _known(kind: int, key: str) -> Column:
-    return F.struct(F.lit(kind).alias("kind"), F.col(key).alias("key"))
+def _exact_key(col: str, kind: int) -> Column:
+    return F.xxhash64(F.lit(kind), F.col(col))
 
 
 def offered_rows(df: DataFrame, id_col: str = "row_id", batch_col: str = "batch_no", path_col: str = "filepath", text_col: str = "description", t: float = THRESHOLD) -> DataFrame:
-    """``id, batch`` of the cases of all batches of ``df``, offered in order of batch to an empty :class:`SegmentHistory`; rows without a batch come first.
+    """``id, batch`` of the cases of all batches of ``df``, offered in order to an empty :class:`SegmentHistory`; rows without a batch come first.
 
-    The batches are prepared together, each into a folder of its own, as they would lie on arrival."""
+    All batches of ``df`` are waiting, so successive ones are offered together as long as they hold no
+    more rows than all before them: a backlog costs one reading of the history, not one a batch. They
+    are prepared together, each into a folder of its own, as they would lie on arrival."""
     spark = df.sparkSession
     where = f"{shared_dir(spark)}/gaugeworks/{uuid.uuid4().hex}"
     ready = prepare(df, id_col, batch_col, path_col, text_col).withColumn("batch_no", F.col("batch"))
     ready.write.partitionBy("batch_no").option("compression", "zstd").parquet(f"{where}/prepared")
     batches = spark.read.schema(ready.schema).parquet(f"{where}/prepared")
     index = SegmentHistory(spark, f"{where}/index", t)
-    numbers = [r["batch_no"] for r in df.select(F.col(batch_col).cast("long").alias("batch_no")).distinct().orderBy("batch_no").collect()]
-    cases = [index.offer(batches.where(F.col("batch_no").eqNullSafe(no)), id_col, batch_col, path_col, text_col, True) for no in numbers]
+    sizes = [(r["no"], r["n"]) for r in df.groupBy(F.col(batch_col).cast("long").alias("no")).agg(F.count("*").alias("n")).orderBy("no").collect()]
+    runs: list[list] = []
+    before = run = 0
+    for no, n in sizes:
+        if not runs or run + n > before:
+            before, run = before + run, 0
+            runs.append([])
+        runs[-1].append(no)
+        run += n
+    no = F.col("batch_no")
+    cases = [index.offer(batches.where(reduce(Column.__or__, (no.eqNullSafe(x) for x in run))), id_col, batch_col, path_col, text_col, True) for run in runs]
     return reduce(DataFrame.union, cases, spark.createDataFrame([], "id long, batch long"))

@@ -18,7 +18,7 @@ follows the first shared token bounds the overlap, so only segments at allowed p
 sequences of allowed lengths meet. They are filtered by a 64-bit parity sketch (each
 differing token flips one bit, so more flipped bits than the bound prove a larger
 distance), then verified exactly: over sorted sequences without repeats the banded
-dynamic programme has one path, the merge, which ``array_intersect`` counts.
+dynamic programme has one path, the merge.
 
 The order needs frequencies only to be selective, not to be right, so they are kept in
 a table of hashed counters, sized by the number of rows (2**BITS to 2**MOST_BITS), one
@@ -62,15 +62,24 @@ class Order:
 
 
 def tokens_of(column: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct tokens and their rows, ordered by row and hash: of texts, or of lists that hold them already."""
-    if not pa.types.is_list(column.type):
+    """Distinct tokens and their rows, ordered by row and hash: of texts, or of binaries that hold them already (:func:`packed`)."""
+    if not pa.types.is_binary(column.type):
         return token_sets(column, shingle)
-    rows = np.repeat(np.arange(len(column)), np.asarray(column.value_lengths().fill_null(0)))
-    return np.asarray(column.flatten()).view(np.uint64), rows
+    column = column.fill_null(b"")
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    held = column.buffers()[2]
+    h = np.frombuffer(held, np.uint8)[ends[0] : ends[-1]] if held is not None and len(column) else np.empty(0, np.uint8)
+    return np.ascontiguousarray(h).view(np.uint64), np.repeat(np.arange(len(column)), np.diff(ends) // 8)
+
+
+def packed(h: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """The tokens of each row, 8 bytes each, as one binary."""
+    ends = np.r_[0, np.cumsum(8 * sizes)]
+    return pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(h))]).cast(pa.binary())
 
 
 def frequencies(df: DataFrame, text: str, shingle: int) -> Order:
-    """The order of the tokens of a column of texts or token lists, from counts over all its rows.
+    """The order of the tokens of a column of texts or packed tokens, from counts over all its rows.
 
     Each task counts into dense blocks, which are summed block by block: what is
     shuffled is the counters of each task, whatever the rows hold."""
@@ -162,7 +171,7 @@ def _segments(h: np.ndarray, r: np.ndarray, n_rows: int, order: Order, t: float,
 
 
 def segments(df: DataFrame, text: str, shingle: int, t: float, order: Order, limit: int | None = None) -> DataFrame:
-    """``key, id, size, place, sketch, lead``: the stored segments of each distinct set of a column of texts or token lists.
+    """``key, id, size, place, sketch, lead``: the stored segments of each distinct set of a column of texts or packed tokens.
 
     Only segments made with the same ``t``, ``order`` and ``limit`` (HOT) meet."""
     limit = HOT if limit is None else limit
@@ -211,9 +220,24 @@ def met(a: Column, b: Column, t: float) -> Column:
 
 
 def verified(pairs: DataFrame, t: float) -> DataFrame:
-    """``id_a, id_b, overlap, size_a, size_b`` of the pairs (with ``tokens_a, tokens_b``) that are similar."""
-    counted = pairs.select("id_a", "id_b", F.size(F.array_intersect("tokens_a", "tokens_b")).alias("overlap"), F.size("tokens_a").alias("size_a"), F.size("tokens_b").alias("size_b"))
-    return counted.where(F.col("overlap") >= F.lit(t) * (F.col("size_a") + F.col("size_b") - F.col("overlap")) - EPS)
+    """``id_a, id_b, overlap, size_a, size_b`` of the pairs (with ``tokens_a, tokens_b``) that are similar.
+
+    The two sorted sequences of each pair are merged, all pairs of a batch in one sort; equal neighbours are the overlap."""
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n = b.num_rows
+            (h, r), (g, q) = tokens_of(b.column(2), 1), tokens_of(b.column(3), 1)
+            every, rows = np.r_[h, g], np.r_[r, q]
+            at = np.lexsort((every, rows))
+            every, rows = every[at], rows[at]
+            overlap = np.bincount(rows[1:][(every[1:] == every[:-1]) & (rows[1:] == rows[:-1])], minlength=n)
+            size_a, size_b = np.bincount(r, minlength=n), np.bincount(q, minlength=n)
+            keep = pa.array(overlap >= t * (size_a + size_b - overlap) - EPS)
+            out = [b.column(0), b.column(1), *(pa.array(x.astype(np.int32)) for x in (overlap, size_a, size_b))]
+            yield pa.RecordBatch.from_arrays([x.filter(keep) for x in out], names=["id_a", "id_b", "overlap", "size_a", "size_b"])
+
+    return pairs.select("id_a", "id_b", "tokens_a", "tokens_b").mapInArrow(merge, "id_a long, id_b long, overlap int, size_a int, size_b int")
 
 
 def overlap_needed(t: float, a: Column, b: Column) -> Column:
@@ -267,21 +291,18 @@ def sets_of(df: DataFrame, text: str, shingle: int, ids: DataFrame, n: int) -> D
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
-        packed = shared.value
+        bitset = shared.value
         for b in batches:
             h, r = token_sets(b.column(0), shingle)
             key, sizes = set_hash(h, r, b.num_rows)
             slot = _slot(key, bits)
-            wanted = ((packed[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1).astype(bool) & (sizes > 0)
+            wanted = ((bitset[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1).astype(bool) & (sizes > 0)
             some = np.flatnonzero(wanted)
             wanted[some] = _fresh(key[some], seen)
             of = wanted[r]
-            offsets = np.r_[0, np.cumsum(sizes[wanted])].astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(key[wanted].view(np.int64)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(h[of].view(np.int64)))], names=["id", "tokens"]
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(key[wanted].view(np.int64)), packed(h[of], sizes[wanted])], names=["id", "tokens"])
 
-    return df.select(text).mapInArrow(emit, "id long, tokens array<long>").dropDuplicates(["id"])
+    return df.select(text).mapInArrow(emit, "id long, tokens binary").dropDuplicates(["id"])
 
 
 def similar_sets(df: DataFrame, text: str, t: float, shingle: int = 1, side: str | None = None) -> DataFrame:
@@ -314,8 +335,8 @@ def set_ids(df: DataFrame, text: str, shingle: int, keep: list[str], with_tokens
             ids, sizes = set_hash(h, r, b.num_rows)
             out = [*b.columns[: len(keep)], pa.array(ids.view(np.int64), mask=sizes == 0)]
             if with_tokens:
-                out.append(pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), pa.array(h.view(np.int64))))
+                out.append(packed(h, sizes))
             yield pa.RecordBatch.from_arrays(out, names=[*keep, "set_id", *["tokens"] * with_tokens])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", set_id long" + ", tokens array<long>" * with_tokens
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", set_id long" + ", tokens binary" * with_tokens
     return df.select(*keep, text).mapInArrow(emit, schema)

@@ -242,3 +242,47 @@ def test_short_keys_and_many_rows_fall_back():
     for r in (np.zeros(5, np.int64), np.array([0, 0, 0, 1 << 15, 1 << 15])):
         got = tokens.distinct(h, r)
         assert list(zip(got[1].tolist(), got[0].tolist())) == sorted({(int(b), int(a)) for a, b in zip(h, r)})
+
+
+def test_a_backlog_is_offered_together(spark, monkeypatch):
+    """Waiting batches go together while they hold no more rows than what came before; the rows are those of brute force."""
+    rows = random_rows(11, 90, 5)
+    rows = [(i, 0 if b < 3 else b + k % 2 * 4, p, d) for k, (i, b, p, d) in enumerate(rows)]
+    offered = []
+    offer = history.SegmentHistory.offer
+    monkeypatch.setattr(history.SegmentHistory, "offer", lambda self, batch, *a: offered.append({r["batch_no"] for r in batch.select("batch_no").collect()}) or offer(self, batch, *a))
+    got = {r["id"] for r in history.offered_rows(curation(spark, rows)).collect()}
+    assert offered == [{0}, {r[1] for r in rows if r[1]}]
+    assert got == brute_cases(rows)
+
+
+@pytest.mark.parametrize("probes, parts", [(500_000, 4), (60, 4), (1, 3)])
+def test_parts_groups_and_merging(spark, tmp_path, monkeypatch, probes, parts):
+    """Probes in one broadcast, in groups of parts, and by a shuffle; batches merged as they come."""
+    monkeypatch.setattr(history, "PROBES", probes)
+    monkeypatch.setattr(history, "PART_ROWS", 60 / parts)
+    monkeypatch.setattr(history, "MERGE", 2)
+    rows = random_rows(13, 100, 3)
+    got = set()
+    for b in range(3):
+        index = history.SegmentHistory(spark, str(tmp_path / "index"))
+        got |= {r["id"] for r in index.offer(curation(spark, [r for r in rows if r[1] == b])).collect()}
+    assert got == brute_cases(rows)
+    assert [p.name for p in (tmp_path / "index" / "batches").iterdir()] == ["00000000-00000002"]
+
+
+def test_an_interrupted_batch_leaves_nothing(spark, tmp_path, monkeypatch):
+    rows = [(1, 0, "a", "x y z"), (2, 1, "b", "p q r s t"), (3, 1, "c", "x y z")]
+    at = str(tmp_path / "index")
+    history.SegmentHistory(spark, at).offer(curation(spark, rows[:1]))
+    with monkeypatch.context() as m:
+        def broken(self, *names, _fs=history.SegmentHistory._fs):
+            if names[0] == "batches" and len(names) > 1:
+                raise RuntimeError("lost")
+            return _fs(self, *names)
+
+        m.setattr(history.SegmentHistory, "_fs", broken)
+        m.setattr(history.SegmentHistory, "_stored", lambda self, name, parts: self.spark.createDataFrame([], history.TABLES[name]))
+        with pytest.raises(RuntimeError):
+            history.SegmentHistory(spark, at).offer(curation(spark, rows[1:]))
+    assert [r["id"] for r in history.SegmentHistory(spark, at).offer(curation(spark, rows[1:])).collect()] == [3]
