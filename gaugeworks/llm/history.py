@@ -34,6 +34,7 @@ PREPARED = ("id", "batch", "path", "set_id", "tokens")
 WHOLE, PATH = 0, -1
 PROBES = 500_000
 GROUPS = 16
+SHARE = 8
 PART_ROWS = 300_000
 MOST_PARTS = 4096
 MERGE = 16
@@ -150,8 +151,8 @@ class SegmentHistory:
     def _meet(self, probes: DataFrame, name: str, stored_key: str) -> DataFrame:
         """``probes`` joined with the stored rows whose ``stored_key`` is their ``probe``.
 
-        Probes of a checked number (PROBES rows of fixed width at most) are broadcast to the scan of
-        their parts, in a few groups of parts; more than that, or of one part, are joined by a shuffle."""
+        Probes of a checked number (PROBES rows of fixed width at most, and few beside what is stored) are
+        broadcast to the scan of their parts, in a few groups of parts; others are joined by a shuffle."""
         on = lambda stored: F.col("probe") == stored[stored_key]
         counts = {r["part"]: r["n"] for r in probes.groupBy(self._part("probe").alias("part")).agg(F.count("*").alias("n")).collect()}
         groups: list[list[int]] = []
@@ -162,8 +163,8 @@ class SegmentHistory:
                 room = PROBES
             groups[-1].append(p)
             room -= counts[p]
-        if len(groups) > GROUPS or max(counts.values(), default=0) > PROBES:
-            stored = self._stored(name, sorted(counts))
+        stored = self._stored(name, sorted(counts))
+        if len(groups) > GROUPS or max(counts.values(), default=0) > PROBES or SHARE * sum(counts.values()) > stored.count():
             return probes.join(stored, on(stored))
         found = []
         for g in groups or [[]]:
@@ -220,16 +221,18 @@ class SegmentHistory:
         slim = rows.select("id", "batch", "path", "set_id")
         exact = [slim.where(f"{c} is not null").select(_exact_key(c, size).alias("key"), F.col(c).alias("id"), F.lit(size).alias("size"), F.lit(0).alias("place"), F.lit(0).cast("long").alias("sketch"), F.lit(True).alias("lead")).distinct() for c, size in (("set_id", WHOLE), ("path", PATH))]
         mine = materialize(simjoin.segments(tokens, "tokens", 1, self.t, self.order, self.hot).union(exact[0]).union(exact[1]))
+        sets = materialize(tokens.dropDuplicates(["id"]))
         first = not self._batches()
         state = slim.withColumn("dead", F.lit(False))
         if not first:
-            dead = self._repeats(tokens, mine)
+            dead = self._repeats(sets, mine)
             for size, col in ((PATH, "path"), (WHOLE, "set_id")):
                 state = state.join(dead.where(F.col("size") == size).select(F.col("id").alias(col), F.lit(True).alias(f"dead_{col}")), col, "left")
             state = materialize(state.select("id", "batch", "path", "set_id", F.coalesce("dead_path", "dead_set_id", F.lit(False)).alias("dead")))
         fresh = state.where("not dead").drop("dead")
-        met = simjoin.candidates(mine.where("size > 0"), self.t)
-        links = materialize(_links(simjoin.verified(simjoin.with_tokens(met, tokens.dropDuplicates(["id"])), self.t)))
+        met = materialize(simjoin.candidates(mine.where("size > 0"), self.t))
+        few = _named(sets, met.select(F.explode(F.array("id_a", "id_b")).alias("id")).distinct())
+        links = materialize(_links(simjoin.verified(simjoin.with_tokens(met, few), self.t)))
         inner = resolve(fresh, links)
         judged = state.join(inner.select("batch", "id", F.lit(True).alias("inner")), [state["batch"].eqNullSafe(inner["batch"]), state["id"].eqNullSafe(inner["id"])], "left").select(*(state[c] for c in slim.columns), (F.col("dead") | F.coalesce("inner", F.lit(False))).alias("gone"))
         judged = materialize(judged.distinct())
@@ -238,15 +241,15 @@ class SegmentHistory:
         lost = materialize(lost[0].union(lost[1]))
         last = max((b for _, b in self._batches()), default=-1)
         kind = F.when(F.col("size") == PATH, PATH).otherwise(WHOLE)
-        kept = mine.withColumn("kind", kind).join(lost, ["id", "kind"], "left_anti").drop("kind").dropDuplicates(["key", "id"]).select(*mine.columns)
-        sets = tokens.join(lost.where(F.col("kind") == WHOLE), "id", "left_anti").dropDuplicates(["id"])
-        self._append({"segments": kept, "sets": sets}, (last + 1, last + 1))
+        kept = mine.withColumn("kind", kind).join(lost, ["id", "kind"], "left_anti").select(*mine.columns)
+        self._append({"segments": kept, "sets": sets.join(lost.where(F.col("kind") == WHOLE), "id", "left_anti")}, (last + 1, last + 1))
         release(mine)
+        release(sets)
         if len(self._batches()) >= MERGE:
             self.merge()
         return judged.where("gone").select("id", "batch")
 
-    def _repeats(self, tokens: DataFrame, mine: DataFrame) -> DataFrame:
+    def _repeats(self, sets: DataFrame, mine: DataFrame) -> DataFrame:
         """``id, size`` of the batch's sets (WHOLE) and paths (PATH) that repeat a stored one."""
         asked = mine.select(F.col("key").alias("probe"), *(F.col(c).alias(c + "_a") for c in mine.columns if c != "key"))
         found = self._meet(asked, "segments", "key")
@@ -257,10 +260,17 @@ class SegmentHistory:
         met = materialize(found.where(same | near).select("id_a", F.col("id").alias("id_b"), F.least("size_a", F.lit(1)).alias("kind")).distinct())
         pairs = met.where("kind > 0").select("id_a", "id_b")
         others = self._meet(pairs.select(F.col("id_b").alias("probe")).distinct(), "sets", "id").select("id", "tokens")
-        alike = simjoin.verified(simjoin.with_tokens(pairs, tokens.dropDuplicates(["id"]), others), self.t)
+        few = _named(sets, pairs.select(F.col("id_a").alias("id")).distinct())
+        alike = simjoin.verified(simjoin.with_tokens(pairs, few, others), self.t)
         return materialize(met.where("kind <= 0").select(F.col("id_a").alias("id"), F.col("kind").alias("size")).union(alike.select("id_a", F.lit(WHOLE))).distinct())
 
 
+def _named(sets: DataFrame, ids: DataFrame) -> DataFrame:
+    """The ``sets`` named in ``ids``, whose number is checked before they are broadcast."""
+    ids = materialize(ids)
+    return materialize(sets.join(F.broadcast(ids) if ids.count() <= PROBES else ids, "id", "left_semi"))
+
+
 def _exact_key(col: str, kind: int) -> Column:
     return F.xxhash64(F.lit(kind), F.col(col))
 
