@@ -43,12 +43,12 @@ def file_stem(path: Column) -> Column:
 
 
 def label_in_name(path: Column) -> Column:
-    """From ``board+defect_00012.png``: what follows the first ``+`` in the stem, without its last ``_suffix``; blank without ``+``."""
-    return F.regexp_replace(F.regexp_extract(file_stem(path), r"^[^+]*\+(.*)$", 1), r"_[^_]*$", "")
+    """From ``board+defect_00012.png``: what follows the first ``+`` in the stem, without its last ``_suffix``; null if that is nothing."""
+    return F.nullif(F.regexp_replace(F.regexp_extract(file_stem(path), r"^[^+]*\+(.*)$", 1), r"_[^_]*$", ""), F.lit(""))
 
 
 def defect_type(path: Column) -> Column:
-    return F.coalesce(F.nullif(label_in_name(path), F.lit("")), F.lit("unknown"))
+    return F.coalesce(label_in_name(path), F.lit("unknown"))
 
 
 def anomaly_prefix(path: Column) -> Column:
@@ -67,24 +67,40 @@ def slug(col: Column, sep: str = "_") -> Column:
 
 
 def metric_key(name: Column, unit: Column) -> Column:
-    """The slug of a metric's name, with ``_pct`` where its unit is per cent."""
-    return F.concat(slug(name), F.when(strip_blank(F.coalesce(unit, F.lit(""))) == "%", "_pct").otherwise(""))
+    """The slug of a metric's display name: ``far_pct`` for FAR in per cent, ``primary_metric`` for names without letters and digits."""
+    key = slug(name)
+    return F.when((key == "far") & (unit == "%"), "far_pct").otherwise(F.coalesce(F.nullif(key, F.lit("")), F.lit("primary_metric")))
 
 
 def platform_slug(col: Column) -> Column:
-    """Kebab case; a capital after a small letter starts a word."""
-    return slug(F.regexp_replace(strip_blank(col), r"([a-z0-9])([A-Z])", "$1-$2"), "-")
+    """Kebab case: blanks and underscores become single dashes. Null (refused) if another character is left, or more than 32."""
+    dashed = F.regexp_replace(F.regexp_replace(F.lower(strip_blank(col)), r"[\s_-]+", "-"), r"^-|-$", "")
+    return F.when(dashed.rlike(r"^[a-z0-9][a-z0-9-]{0,31}$"), dashed)
 
 
 def safe_id(col: Column) -> Column:
-    """Only letters, digits, dot, dash and underscore; others as one dash."""
-    return F.regexp_replace(F.regexp_replace(strip_blank(col), r"[^A-Za-z0-9._-]+", "-"), r"^-+|-+$", "")
+    """Only letters, digits, dot, dash and underscore, others as one dash; it starts with a letter or digit, and doesn't end in a dot or dash. ``job`` if nothing is left."""
+    dashed = F.regexp_replace(col, r"[^A-Za-z0-9._-]+", "-")
+    return F.coalesce(F.nullif(F.regexp_replace(dashed, r"^[^A-Za-z0-9]+|[.-]+$", ""), F.lit("")), F.lit("job"))
 
 
 def gpu_arch(col: Column) -> Column:
-    """``sm_90`` from spellings such as ``SM90``, ``sm_90a``, ``compute_90`` and ``9.0``; null otherwise."""
-    digits = F.regexp_replace(F.regexp_extract(F.lower(strip_blank(col)), r"^(?:(?:sm|compute)[_-]?)?(\d{1,2}\.?\d)[af]?$", 1), r"\.", "")
-    return F.when(digits != "", F.concat(F.lit("sm_"), digits))
+    """``sm_90`` from spellings such as ``SM90``, ``compute_90``, ``90`` and ``9.0``; an ``a`` or ``f`` behind it stays. Null for others."""
+    text = F.replace(F.replace(F.lower(strip_blank(col)), F.lit("compute_"), F.lit("sm_")), F.lit("-"), F.lit("_"))
+    plain = F.regexp_extract(text, r"^(?:sm_?)?(\d{2,3}[af]?)$", 1)
+    dotted = F.regexp_replace(F.regexp_extract(text, r"^(\d+\.\d+[af]?)$", 1), r"\.", "")
+    number = F.coalesce(F.nullif(plain, F.lit("")), F.nullif(dotted, F.lit("")))
+    return F.concat(F.lit("sm_"), number)
+
+
+def gpu_family(col: Column) -> Column:
+    """The architecture without its variant."""
+    return F.regexp_replace(gpu_arch(col), "[af]$", "")
+
+
+def gpu_supported(target: Column, candidates: list[str]) -> Column:
+    """Whether any of the candidates is of the target's family; null for a target that is no architecture."""
+    return gpu_family(target).isin([gpu_family(F.lit(c)) for c in candidates]) if candidates else F.lit(False)
 
 
 def redact(col: Column) -> Column:
@@ -100,15 +116,31 @@ def compare(value: Column, operator: Column, target: Column) -> Column:
     return F.when(spelled("<"), value < target).when(spelled("<="), value <= target).when(spelled(">"), value > target).when(spelled(">="), value >= target)
 
 
-TARGET = r"^\s*(.+?)\s*(<=|>=|<|>|\b(?:lte|gte|lt|le|gt|ge)\b)\s*([+-]?\d+(?:\.\d+)?)\s*([^\s@]*)(?:\s+(?:at|@)\s+(.*?))?\s*$"
+_NUMBER = r"-?(?:\d+(?:\.\d*)?|\.\d+)"
+TARGET = rf"(?i)^\s*(.+?)\s*(<=|>=|<|>)\s*({_NUMBER})\s*(\S*)(?:\s+at\s+(.+?))?\s*$"
 
 
 def parse_target(col: Column) -> Column:
-    """``name op value unit [at context]`` as a struct; null where the text has another form."""
-    part = lambda i: F.nullif(F.regexp_extract(col, TARGET, i), F.lit(""))
+    """A target such as ``FAR <= 5 % at recall = 100%`` as a struct; null where the text has another form.
+
+    FAR in per cent is evaluated at a recall (``recall_target_pct``, 100 where the context names none); what
+    stands behind ``at`` for any other metric is its ``evaluation_context``, and its evaluator is yet to be named."""
+    part = lambda i: F.regexp_extract(col, TARGET, i)
+    key, context = metric_key(part(1), part(4)), F.nullif(strip_blank(part(5)), F.lit(""))
+    far = key == "far_pct"
+    recall = F.regexp_extract(context, rf"(?i)recall\s*=\s*({_NUMBER})\s*%?", 1).try_cast("double")
     return F.when(
         col.rlike(TARGET),
-        F.struct(part(1).alias("name"), part(2).alias("operator"), part(3).cast("double").alias("value"), part(4).alias("unit"), part(5).alias("context")),
+        F.struct(
+            key.alias("name"),
+            strip_blank(part(1)).alias("display_name"),
+            part(2).alias("operator"),
+            part(3).cast("double").alias("target"),
+            part(4).alias("unit"),
+            F.when(far, "far_at_recall").otherwise("unconfigured").alias("evaluator"),
+            F.when(far, F.coalesce(recall, F.lit(100.0))).alias("recall_target_pct"),
+            F.when(~far, context).alias("evaluation_context"),
+        ),
     )
 
 

@@ -44,10 +44,11 @@ def format_pct(col: Column) -> Column:
 
 
 def format_duration(seconds: Column) -> Column:
-    """``1h 2m 3s`` without leading zero units."""
-    s = seconds.cast("long")
+    """``1h 2m``, ``2m 3s`` or ``3s``: the two leading units; ``not recorded`` for null, zero and less."""
+    s = seconds.try_cast("long")
     h, m, r = F.floor(s / 3600), F.floor(F.pmod(s, F.lit(3600)) / 60), F.pmod(s, F.lit(60))
-    return F.when(h > 0, F.format_string("%dh %dm %ds", h, m, r)).when(m > 0, F.format_string("%dm %ds", m, r)).otherwise(F.format_string("%ds", r))
+    shown = F.when(h > 0, F.format_string("%dh %dm", h, m)).when(m > 0, F.format_string("%dm %ds", m, r)).otherwise(F.format_string("%ds", r))
+    return F.when(s > 0, shown).otherwise("not recorded")
 
 
 def weakness(score: Column, defect: Column, threshold: Column) -> Column:

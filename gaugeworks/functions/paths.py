@@ -42,9 +42,13 @@ def basename(col: Column) -> Column:
 
 
 def resolve(col: Column, root: str) -> Column:
-    """Absolute: under ``root`` unless it starts with a slash; ``.`` segments dropped (``..`` and links aren't followed)."""
+    """Absolute: under ``root`` unless it starts with a slash; ``.`` and ``..`` segments are resolved lexically (links aren't followed)."""
     p = slashes(col)
-    return F.regexp_replace(F.when(F.startswith(p, F.lit("/")), p).otherwise(F.concat(F.lit(root.rstrip("/") + "/"), p)), r"/\.(?=/|$)", "")
+    whole = F.when(F.startswith(p, F.lit("/")), p).otherwise(F.concat(F.lit(root.rstrip("/") + "/"), p))
+    kept = F.filter(F.split(whole, "/"), lambda x: (x != "") & (x != "."))
+    up = lambda done, x: F.when(x != "..", F.concat(done, F.array(x))).otherwise(F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))))
+    walked = F.when(F.array_contains(kept, ".."), F.aggregate(kept, F.array().cast("array<string>"), up)).otherwise(kept)
+    return F.concat(F.lit("/"), F.array_join(walked, "/"))
 
 
 def lookup_keys(col: Column, root: str) -> Column:

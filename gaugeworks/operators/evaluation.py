@@ -86,7 +86,8 @@ def average_precision(matched: DataFrame, truth: DataFrame) -> DataFrame:
     down = Window.partitionBy("class").orderBy(F.col("score").desc(), "image")
     run = down.rowsBetween(Window.unboundedPreceding, 0)
     p = matched.withColumn("precision", F.sum(F.col("hit").cast("int")).over(run) / F.row_number().over(down))
-    env = p.withColumn("envelope", F.max("precision").over(down.rowsBetween(0, Window.unboundedFollowing)))
+    up = Window.partitionBy("class").orderBy("score", F.col("image").desc())  # the same order from its end, so that the maximum runs along
+    env = p.withColumn("envelope", F.max("precision").over(up.rowsBetween(Window.unboundedPreceding, 0)))
     ap = env.where("hit").groupBy("class").agg(F.sum("envelope").alias("s"))
     return n.join(ap, "class", "left").select("class", "boxes", F.coalesce(F.col("s") / F.col("boxes"), F.lit(0.0)).alias("ap"))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -158,12 +160,14 @@ def calibration(rows: DataFrame, low: float, high: float, buckets: int = 10) ->
 
 
 def histogram(rows: DataFrame, bins: int = 20) -> DataFrame:
-    """Counts by class over shared equal-width edges between the extremes; a single value gets half a unit either side."""
+    """Counts by class over shared equal-width edges between the extremes. Scores that are all (nearly) equal
+    share one bin, 5 % of the score wide either side, a millionth at least."""
     low, high = rows.agg(F.min("score"), F.max("score")).first()
     if low is None:
         return rows.sparkSession.createDataFrame([], "bin int, edge double, n_pass long, n_defect long")
-    if low == high:
-        low, high = low - 0.5, high + 0.5
+    if math.isclose(low, high):
+        room = max(abs(low) * 0.05, 1e-6)
+        low, high, bins = low - room, low + room, 1
     width = (high - low) / bins
     b = F.least(F.floor((F.col("score") - F.lit(low)) / F.lit(width)), F.lit(bins - 1)).cast("int")
     return rows.where("score is not null").groupBy(b.alias("bin")).agg(F.count_if(~F.col("defect")).alias("n_pass"), F.count_if("defect").alias("n_defect")).withColumn("edge", F.lit(low) + F.col("bin") * F.lit(width))

@@ -26,7 +26,7 @@ _STEM = "regexp_replace(regexp_extract(translate(filepath, '\\', '/'), '([^/]*)$
 _NAMED = f"regexp_replace(regexp_extract({_STEM}, '^[^+]*\\+(.*)$', 1), '_[^_]*$', '')"
 
 
-@add("fn_label_from_filename", f"select row_id, {_NAMED} name_label from curation_rows")
+@add("fn_label_from_filename", f"select row_id, nullif({_NAMED}, '') name_label from curation_rows")
 def _(t):
     return t("curation_rows").select("row_id", labels.label_in_name(F.col("filepath")).alias("name_label"))
 
@@ -52,15 +52,25 @@ def _(t):
 
 
 _SL = "regexp_replace(translate(filepath, '\\', '/'), '/+$', '')"
-_RES = f"regexp_replace(regexp_replace(case when starts_with({_SL}, '/') then {_SL} else '/data/' || {_SL} end, '/\\.(/|$)', '\\1', 'g'), '/\\.(/|$)', '\\1', 'g')"
 
 
-@add("fn_path_resolve", f"select row_id, {_RES} resolved from curation_rows")
+# the folder in which a relative path lies behind what is put before it
+_LAND = "case row_id % 4 when 0 then '/data/' when 1 then '/other/' when 2 then '/' else '/data/' end"
+_FLAT = "regexp_replace(regexp_replace(regexp_replace({p}, '/{{2,}}', '/', 'g'), '(/\\.)+(/|$)', '\\2', 'g'), '(.)/+$', '\\1')"
+
+
+@add("fn_path_resolve", f"select row_id, {_FLAT.format(p=f'case when starts_with({_SL}, chr(47)) then {_SL} else {_LAND} || {_SL} end')} resolved from curation_rows")
 def _(t):
-    return t("curation_rows").select("row_id", paths.resolve(F.col("filepath"), "/data").alias("resolved"))
+    """Relative paths are put behind segments that lead up and down again."""
+    climb = F.element_at(F.array(*map(F.lit, ("x/y/../../", "../other/./", "../../../", ""))), (F.col("row_id") % 4 + 1).cast("int"))
+    p = F.col("filepath")
+    return t("curation_rows").select("row_id", paths.resolve(F.when(paths.slashes(p).startswith("/"), p).otherwise(F.concat(climb, p)), "/data").alias("resolved"))
+
+
+_ABS = _FLAT.format(p=f"case when starts_with({_SL}, '/') then {_SL} else '/data/' || {_SL} end")
 
 
-@add("fn_path_keys", f"select row_id, unnest(list_distinct([{_SL}, {_RES}, regexp_extract({_SL}, '([^/]*)$', 1)])) lookup_key from curation_rows where filepath is not null")
+@add("fn_path_keys", f"select row_id, unnest(list_distinct([{_SL}, {_ABS}, regexp_extract({_SL}, '([^/]*)$', 1)])) lookup_key from curation_rows where filepath is not null")
 def _(t):
     rows = t("curation_rows").where("filepath is not null")
     return rows.select("row_id", F.explode(paths.lookup_keys(F.col("filepath"), "/data")).alias("lookup_key"))
@@ -100,9 +110,11 @@ def _(t):
     return t("events").select("event_id", numbers.format_float(F.col("value")).alias("six"), numbers.format_pct(F.col("value")).alias("pct"))
 
 
-@add("fn_duration", "select log_id, case when duration_sec >= 3600 then printf('%dh %dm %ds', duration_sec // 3600, duration_sec % 3600 // 60, duration_sec % 60) when duration_sec >= 60 then printf('%dm %ds', duration_sec // 60, duration_sec % 60) when duration_sec is not null then printf('%ds', duration_sec) end took from loop_log")
+@add("fn_duration", "select log_id, case when coalesce(duration_sec, 0) <= 0 then 'not recorded' when duration_sec >= 3600 then printf('%dh %dm', duration_sec // 3600, duration_sec % 3600 // 60) when duration_sec >= 60 then printf('%dm %ds', duration_sec // 60, duration_sec % 60) else printf('%ds', duration_sec) end took from (select log_id, (duration_sec * (1 + log_id % 5) - log_id % 3)::int duration_sec from loop_log)")
 def _(t):
-    return t("loop_log").select("log_id", F.when(F.col("duration_sec").isNotNull(), numbers.format_duration(F.col("duration_sec"))).alias("took"))
+    """Durations up to hours, zero and less among them."""
+    spread = F.col("duration_sec") * (1 + F.col("log_id") % 5) - F.col("log_id") % 3
+    return t("loop_log").select("log_id", numbers.format_duration(spread).alias("took"))
 
 
 @add("fn_safe_divide", "select p_partkey, round(p_retailprice / nullif(p_size % 5, 0), 6) r, round(2 * (p_size / 50) * 0.5 / nullif(p_size / 50 + 0.5, 0), 6) f1 from part")
@@ -123,26 +135,41 @@ def _(t):
     return t("lineitem").select("l_orderkey", "l_linenumber", labels.compare(F.col("l_quantity"), op, F.lit(25.0)).alias("holds"))
 
 
-@add("fn_parse_target", "select p_partkey, p_name \"name\", '<=' \"operator\", p_size::double \"value\", '%' unit, 'recall 100' context from part")
+@add("fn_parse_target", """select p_partkey, case when p_partkey % 4 = 0 then 'far_pct' when p_partkey % 4 = 3 then null else lower(replace(p_name, ' ', '_')) end "name",
+    case when p_partkey % 4 = 0 then 'FAR' when p_partkey % 4 = 3 then null else p_name end display_name, case p_partkey % 4 when 0 then '<=' when 1 then '>=' when 2 then '<' end "operator",
+    case p_partkey % 4 when 0 then p_size::double when 1 then p_size / 100 when 2 then -p_size::double end target, case p_partkey % 4 when 0 then '%' when 1 then '' when 2 then 'px' end unit,
+    case p_partkey % 4 when 0 then 'far_at_recall' when 3 then null else 'unconfigured' end evaluator, case when p_partkey % 4 = 0 then case when p_partkey % 8 = 0 then 99.5 else 100 end end::double recall_target_pct,
+    case when p_partkey % 4 = 2 then 'dusk' end evaluation_context from part""")
 def _(t):
-    text = F.concat("p_name", F.lit(" <= "), F.col("p_size").cast("string"), F.lit(" % at recall 100"))
+    """FAR at a named or the usual recall, numbers without a digit before or behind the point, a context, and texts that are no target."""
+    n = F.col("p_size")
+    far = F.concat(F.lit("FAR <= "), n.cast("string"), F.lit(". %"), F.when(F.col("p_partkey") % 8 == 0, " at Recall = 99.5 %").otherwise(""))
+    share = F.concat("p_name", F.lit(">="), F.regexp_replace(F.format_string("%.2f", n / 100), "^0", ""))
+    drift = F.concat(F.lit(" "), "p_name", F.lit(" < -"), n.cast("string"), F.lit("px AT dusk "))
+    text = F.element_at(F.array(far, share, drift, F.concat("p_name", F.lit(" at least "), n.cast("string"))), (F.col("p_partkey") % 4 + 1).cast("int"))
     return t("part").select("p_partkey", labels.parse_target(text).alias("x")).select("p_partkey", "x.*")
 
 
-@add("fn_slug", "select p_partkey, trim(regexp_replace(lower(p_brand || ' ' || p_type), '[^a-z0-9]+', '_', 'g'), '_') || '_pct' slug from part")
+@add("fn_slug", "select p_partkey, case p_partkey % 4 when 0 then 'far_pct' when 1 then 'far' when 2 then 'primary_metric' else trim(regexp_replace(lower(p_brand || ' ' || p_type), '[^a-z0-9]+', '_', 'g'), '_') end slug from part")
 def _(t):
-    return t("part").select("p_partkey", labels.metric_key(F.concat_ws(" ", "p_brand", "p_type"), F.lit("%")).alias("slug"))
+    k = F.col("p_partkey") % 4
+    name = F.when(k <= 1, " Far!").when(k == 2, "+ %").otherwise(F.concat_ws(" ", "p_brand", "p_type"))
+    return t("part").select("p_partkey", labels.metric_key(name, F.when(k == 1, "").otherwise("%")).alias("slug"))
 
 
-@add("fn_platform_slug", "select c_custkey, trim(regexp_replace(lower(c_name), '[^a-z0-9]+', '-', 'g'), '-') slug, trim(regexp_replace(c_name, '[^A-Za-z0-9._-]+', '-', 'g'), '-') safe from customer")
+@add("fn_platform_slug", """select c_custkey, case c_custkey % 4 when 0 then replace(lower(c_mktsegment), ' ', '-') || '-gpu' when 1 then null when 2 then null else 'c-' || c_custkey end slug,
+    case c_custkey % 4 when 0 then c_mktsegment || '-GPU' when 1 then 'job' when 2 then regexp_replace(c_name, '[^A-Za-z0-9._-]+', '-', 'g') || '-' || repeat('x', 40) else 'C-_-' || c_custkey end safe from customer""")
 def _(t):
-    return t("customer").select("c_custkey", labels.platform_slug(F.col("c_name")).alias("slug"), labels.safe_id(F.col("c_name")).alias("safe"))
+    k = F.col("c_custkey") % 4
+    name = F.when(k == 0, F.concat(F.lit(""), "c_mktsegment", F.lit(" GPU"))).when(k == 1, "..++--").when(k == 2, F.concat("c_name", F.lit(" "), F.lit("x" * 40), F.lit("-."))).otherwise(F.concat(F.lit("_C _ "), F.col("c_custkey").cast("string"), F.lit("-")))
+    return t("customer").select("c_custkey", labels.platform_slug(name).alias("slug"), labels.safe_id(name).alias("safe"))
 
 
-@add("fn_gpu_arch", "select p_partkey, case when p_size between 10 and 99 then 'sm_' || p_size end arch from part")
+@add("fn_gpu_arch", "select p_partkey, a arch, coalesce(rtrim(a, 'af') in ('sm_10', 'sm_25'), null) supported from (select p_partkey, case when p_partkey % 5 = 4 then case when p_size >= 10 then 'sm_' || p_size || '0' else 'sm_' || p_size || '0' end || 'f' when p_size >= 10 then 'sm_' || p_size || case p_partkey % 5 when 1 then 'a' else '' end end a from part)")
 def _(t):
-    form = F.element_at(F.array(F.concat(F.lit("SM"), "p_size"), F.concat(F.lit("sm_"), "p_size", F.lit("a")), F.concat(F.lit("compute_"), "p_size")), F.col("p_partkey").cast("int") % 3 + 1)
-    return t("part").select("p_partkey", labels.gpu_arch(form).alias("arch"))
+    n = F.col("p_size").cast("string")
+    form = F.element_at(F.array(F.concat(F.lit(" SM"), n), F.concat(F.lit("sm-"), n, F.lit("A")), F.concat(F.lit("compute_"), n), n, F.concat(n, F.lit(".0f"))), (F.col("p_partkey") % 5 + 1).cast("int"))
+    return t("part").select("p_partkey", labels.gpu_arch(form).alias("arch"), labels.gpu_supported(form, ["SM10a", "2.5"]).alias("supported"))
 
 
 @add("fn_cosine", "select a.vec_id, round(list_cosine_similarity(a.embedding::double[], b.embedding::double[]), 6) cosine, round(sqrt(list_sum(list_transform(list_zip(a.embedding, b.embedding), lambda x: (x[1]::double - x[2]::double) ** 2))), 6) euclidean, round(list_sum(list_transform(list_zip(a.embedding, b.embedding), lambda x: abs(x[1]::double - x[2]::double))), 6) manhattan from embeddings a join embeddings b on b.vec_id = 0")

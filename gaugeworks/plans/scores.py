@@ -147,6 +147,13 @@ def _(t):
     return with_rounded(th.histogram(scored(t)), "edge")
 
 
+@add("agg_histogram_one_value", "select 0 bin, count(*) filter (o_orderstatus = 'O') n_pass, count(*) filter (o_orderstatus <> 'O') n_defect, 6.65 edge from orders")
+def _(t):
+    """Scores that differ by less than a billionth share one bin."""
+    score = 7 + F.col("o_orderkey") % 2 * 1e-10
+    return with_rounded(th.histogram(t("orders").select(score.alias("score"), (F.col("o_orderstatus") != "O").alias("defect"))), "edge")
+
+
 @add("agg_percentile_flag", S + " select user_id, round(avg(score), 6) mean, round((select quantile_cont(score, 0.55) from s), 6) cut from s group by 1 having avg(score) > (select quantile_cont(score, 0.55) from s)")
 def _(t):
     return with_rounded(th.high_mean_groups(scored(t), "user_id", 0.55), "mean", "cut")

@@ -99,9 +99,31 @@ def test_names_and_paths(spark):
 
 
 def test_targets(spark):
-    df = spark.createDataFrame([("FAR <= 5 % at recall 100",), ("accuracy gte 0.9",), ("nonsense",)], "t string").select(labels.parse_target(F.col("t")).alias("x"))
-    a, b, c = (r["x"] for r in df.collect())
-    assert (a["name"], a["operator"], a["value"], a["unit"], a["context"]) == ("FAR", "<=", 5.0, "%", "recall 100") and (b["name"], b["operator"], b["value"]) == ("accuracy", "gte", 0.9) and c is None
+    texts = ["FAR <= 5 % at recall = 99.5 %", " far < .5%", "quality score>=5. at night ", "FAR <= 5", "accuracy gte 0.9", "x >= +1", "nonsense", None]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "i int, t string").select("i", labels.parse_target(F.col("t")).alias("x"))
+    got = [tuple(r["x"]) if r["x"] else None for r in df.orderBy("i").collect()]
+    assert got == [
+        ("far_pct", "FAR", "<=", 5.0, "%", "far_at_recall", 99.5, None),
+        ("far_pct", "far", "<", 0.5, "%", "far_at_recall", 100.0, None),
+        ("quality_score", "quality score", ">=", 5.0, "", "unconfigured", None, "night"),
+        ("far", "FAR", "<=", 5.0, "", "unconfigured", None, None),
+        *[None] * 4,
+    ]
+
+
+def applied(spark, f, values, kind="string"):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, v {kind}")
+    return [r["x"] for r in df.select("i", f(F.col("v")).alias("x")).orderBy("i").collect()]
+
+
+def test_identifiers(spark):
+    assert applied(spark, labels.platform_slug, [" Docker_GPU  x", "a--b-", "a/b", "", "-", "x" * 33, "myPlatform", None]) == ["docker-gpu-x", "a-b", None, None, None, None, "myplatform", None]
+    assert applied(spark, labels.safe_id, ["a b/c", "..x..", "--", "", "_a_", None]) == ["a-b-c", "x", "job", "job", "a_", "job"]
+    assert applied(spark, labels.gpu_arch, [" SM_103a", "sm-90", "compute_90", "90f", "9.0", "12.1A", "sm_9", "9", "x", "", None]) == ["sm_103a", "sm_90", "sm_90", "sm_90f", "sm_90", "sm_121a", None, None, None, None, None]
+    assert applied(spark, lambda c: labels.gpu_supported(c, ["sm_90a", "10.0"]), ["90", "100f", "80", "?"]) == [True, True, False, None]
+    assert applied(spark, labels.label_in_name, ["a+b_1.png", "a+b.png", "a.png", "a+_1.png", None]) == ["b", "b", None, None, None]
+    assert applied(spark, numbers.format_duration, [0, -5, 59, 60, 3599, 3600, 7325, None], "long") == ["not recorded", "not recorded", "59s", "1m 0s", "59m 59s", "1h 0m", "2h 2m", "not recorded"]
+    assert applied(spark, lambda c: paths.resolve(c, "/data"), ["a/../b", "../../x", "/a/./b/..", "..", "", "a//b/", None]) == ["/data/b", "/x", "/a", "/", "/data", "/data/a/b", None]
 
 
 def test_floor_and_blocks(spark, monkeypatch):
