@@ -92,12 +92,8 @@ def cascade(orphans: DataFrame, records: DataFrame) -> DataFrame:
     return inherited.groupBy(*key).agg((F.min("depth") + 1).alias("depth")).join(direct, key, "left_anti")
 
 
-def run_orphans(iterations: DataFrame, log: DataFrame, artifacts: DataFrame, stages: DataFrame) -> DataFrame:
-    """``src_table, row_key, ref_field, orphan_reason, ref_month, orphan_kind, depth`` over the run tables.
-
-    Direct orphans have their reason. Inherited ones have no field or reason: an
-    iteration's state depends on the iteration before it, a log event on the state of
-    its iteration."""
+def direct_orphans(iterations: DataFrame, log: DataFrame, artifacts: DataFrame, stages: DataFrame) -> DataFrame:
+    """``src_table, row_key, ref_field, orphan_reason, ref_month`` of the references of the run tables that don't hold: where the cascade starts."""
     stage = lambda c: F.lower(strip_blank(F.col(c)))
     into = lambda kind, k: F.when(k != "", F.concat(F.lit(kind + ":"), k))  # noqa: E731  # both targets in one order
     refs = references(log, "loop_log", "log_id", "stage", into("stage", stage("stage")), "ts")
@@ -106,7 +102,15 @@ def run_orphans(iterations: DataFrame, log: DataFrame, artifacts: DataFrame, sta
     files = lives(artifacts, into("file", path_key(F.col("artifact_path"))), "created_at", "deleted_at")
     targets = files.unionByName(lives(stages, into("stage", stage("stage_name")), "introduced_at", "retired_at"))
     checked = check_references(refs, targets).where("orphan_reason is not null")
-    direct = materialize(checked.select("src_table", "row_key", "ref_field", "orphan_reason", F.date_format("at", "yyyy-MM").alias("ref_month")))
+    return checked.select("src_table", "row_key", "ref_field", "orphan_reason", F.date_format("at", "yyyy-MM").alias("ref_month"))
+
+
+def run_orphans(iterations: DataFrame, log: DataFrame, artifacts: DataFrame, stages: DataFrame) -> DataFrame:
+    """``src_table, row_key, ref_field, orphan_reason, ref_month, orphan_kind, depth`` over the run tables: the whole cascade.
+
+    Direct orphans (:func:`direct_orphans`, depth 0) have their reason. Inherited ones have no field or
+    reason: an iteration's state depends on the iteration before it, a log event on the state of its iteration."""
+    direct = materialize(direct_orphans(iterations, log, artifacts, stages))
     number = F.when(F.lower(strip_blank(F.col("iter"))) == "baseline", 0).otherwise(F.regexp_extract(F.lower(strip_blank(F.col("iter"))), r"^iter(\d{1,9})$", 1).try_cast("int"))
     group = lambda n: F.when(F.col("run_id").isNotNull() & n.isNotNull(), F.struct(F.col("run_id").alias("run"), n.cast("int").alias("n")))
     states = iterations.select(F.lit("deft_iterations").alias("src_table"), F.col("state_id").cast("long").alias("row_key"), group(number).alias("own"), group(number - 1).alias("up"), F.col("updated_at").alias("at"))

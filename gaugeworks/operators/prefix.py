@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,26 +16,38 @@ from gaugeworks.session import materialize
 def prefix_sums(df: DataFrame, order: list, sums: dict[str, Column]) -> DataFrame:
     """``df`` with, for each entry of ``sums``, the sum of that value over all rows before (exclusive).
 
-    Two passes: rows are range-partitioned by ``order`` (which must be total, else ties
-    fall either way) and written with their partition; the totals of the partitions - one
-    row each, so as many as shuffle partitions - are added up on the driver; then each
-    partition sums for itself. No task holds more than one range. An empty input gives
-    no rows; null values count as 0."""
-    values = [F.coalesce(v, F.lit(0)).alias(f"_v_{k}") for k, v in sums.items()]
-    ranged = _ranged(df.select("*", *values), order)
+    Two passes: rows are range-partitioned and sorted by ``order`` (which must be total, else ties
+    fall either way), and each partition adds up its own values while it's written; the totals of the
+    partitions - one row each, so as many as shuffle partitions - are added up on the driver and
+    put on top as the rows are read again. Rows are shuffled once, and no task holds more than
+    one range. An empty input gives no rows; null values count as 0."""
+    kinds = {k: "long" if df.select(v.alias("x")).schema["x"].dataType.typeName() in ("byte", "short", "integer", "long") else "double" for k, v in sums.items()}
+    values = [F.coalesce(v, F.lit(0)).cast(kinds[k]).alias(f"_v_{k}") for k, v in sums.items()]
+    ranged = df.select("*", *values).repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
+    n, width = len(sums), len(df.columns)
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        run = [0] * n
+        for b in batches:
+            before = []
+            for i in range(n):
+                v = np.asarray(b.column(width + i))
+                total = np.cumsum(v)
+                before.append(pa.array(run[i] + total - v))
+                run[i] += total[-1] if len(v) else 0
+            yield pa.RecordBatch.from_arrays([*b.columns, *before], names=names)
+
+    schema = T.StructType([*ranged.schema.fields, *(T.StructField(f"_c_{k}", ranged.schema[f"_v_{k}"].dataType) for k in sums)])
+    names = schema.names
+    ranged = materialize(ranged.mapInArrow(add_up, schema))
     totals = sorted(ranged.groupBy("_part").agg(*(F.sum(f"_v_{k}").alias(k) for k in sums)).collect(), key=lambda r: r["_part"])
     run, rows = {k: 0 for k in sums}, []
     for r in totals:
-        rows.append((r["_part"], *run.values()))
+        rows.append((r["_part"], *(float(x) if kinds[k] == "double" else x for k, x in run.items())))
         run = {k: run[k] + r[k] for k in sums}
-    kinds = dict(ranged.groupBy("_part").agg(*(F.sum(f"_v_{k}").alias(k) for k in sums)).dtypes)
-    schema = ", ".join(["_part int", *(f"_o_{k} {kinds[k]}" for k in sums)])
-    offsets = df.sparkSession.createDataFrame(rows, schema)
-    before = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = df.sparkSession.createDataFrame(rows, ", ".join(["_part int", *(f"_o_{k} {kinds[k]}" for k in sums)]))
     joined = ranged.join(F.broadcast(offsets), "_part")
-    for k in sums:
-        joined = joined.withColumn(k, F.col(f"_o_{k}") + F.coalesce(F.sum(f"_v_{k}").over(before), F.lit(0)))
-    return joined.drop("_part", *(f"_v_{k}" for k in sums), *(f"_o_{k}" for k in sums))
+    return joined.select(*(F.col(f"`{c}`") for c in df.columns if c not in sums), *((F.col(f"_o_{k}") + F.col(f"_c_{k}")).alias(k) for k in sums))
 
 
 def _ranged(df: DataFrame, order: list) -> DataFrame:
@@ -84,7 +100,8 @@ def with_next_known(df: DataFrame, by: list[str], order: list[str], value: str,
             reach = None
     schema = T.StructType([T.StructField("_part", T.IntegerType()), T.StructField("_group", ranged.select(group.alias("g")).schema["g"].dataType), T.StructField("_after", ranged.schema[value].dataType)])
     carry = df.sparkSession.createDataFrame(carried, schema)
-    w = Window.partitionBy("_part", *by).orderBy(*keys).rowsBetween(0, Window.unboundedFollowing)
+    # from the end of the order, so that what is known next runs along; keys of descending order put nulls last, where ascending ones put them first
+    w = Window.partitionBy("_part", *by).orderBy(*(F.col(k).desc() for k in keys)).rowsBetween(Window.unboundedPreceding, 0)
     after = F.when(group == F.col("_group"), F.col("_after"))
-    out = ranged.join(F.broadcast(carry), "_part", "left").withColumn(name, F.coalesce(F.first(value, ignorenulls=True).over(w), after))
+    out = ranged.join(F.broadcast(carry), "_part", "left").withColumn(name, F.coalesce(F.last(value, ignorenulls=True).over(w), after))
     return out.select(*df.columns, name)

@@ -28,16 +28,24 @@ def p2_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("manifest_id", "doc_kind").join(entries, "manifest_id").groupBy("doc_kind", "kind").agg(F.count("*").alias("documents"), F.sum("named").alias("named"), F.sum("blank").alias("blank"))
 
 
-def _orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return orphans.run_orphans(*(load(spark, sf_dir, t) for t in ("deft_iterations", "loop_log", "artifacts", "stages")))
+def _run_tables(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    return [load(spark, sf_dir, t) for t in ("deft_iterations", "loop_log", "artifacts", "stages")]
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _orphans(spark, sf_dir).where("orphan_kind = 'direct'").select("src_table", "row_key", "ref_field", "orphan_reason", "ref_month")
+    """The direct orphans, at which the cascade starts; :func:`p4_report` and :func:`p4_inherited` follow it to its fixpoint."""
+    return orphans.direct_orphans(*_run_tables(spark, sf_dir))
 
 
 def p4_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _orphans(spark, sf_dir).groupBy("src_table", "ref_month", "orphan_kind", "orphan_reason").agg(F.count("*").alias("orphans"), F.max("depth").alias("deepest"))
+    every = orphans.run_orphans(*_run_tables(spark, sf_dir))
+    return every.groupBy("src_table", "ref_month", "orphan_kind", "orphan_reason").agg(F.count("*").alias("orphans"), F.max("depth").alias("deepest"))
+
+
+def p4_inherited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records that are orphans only through others, with the number of steps to the nearest direct one."""
+    every = orphans.run_orphans(*_run_tables(spark, sf_dir))
+    return every.where("orphan_kind = 'inherited'").select("src_table", "row_key", "ref_month", "depth")
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,7 +71,7 @@ def p6_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.where("fail_reason is null").drop("fail_reason").withColumnRenamed("id", "line_id")
 
 
-QUERIES = {"p2_found": p2_found, "p2_parents": p2_parents, "p2_report": p2_report, "p4_found": p4_found, "p4_report": p4_report, "p6_found": p6_found, "p6_report": p6_report, "p6_rows": p6_rows, "p6_events": p6_events}
+QUERIES = {"p2_found": p2_found, "p2_parents": p2_parents, "p2_report": p2_report, "p4_found": p4_found, "p4_report": p4_report, "p4_inherited": p4_inherited, "p6_found": p6_found, "p6_report": p6_report, "p6_rows": p6_rows, "p6_events": p6_events}
 
 _PATH = "nullif(regexp_replace(regexp_replace(regexp_replace(regexp_replace(translate(regexp_replace({c}, '^\\s+|\\s+$', '', 'g'), '\\', '/'), '^file://', '', 'i'), '/{{2,}}', '/', 'g'), '(^|/)(?:\\.(?:/|$))+', '\\1', 'g'), '/+$', ''), '')"
 _BLANKLESS = "regexp_replace({c}, '^\\s+|\\s+$', '', 'g')"
@@ -98,7 +106,7 @@ where bad or coalesce(json_extract(case when not bad then j end, '$.status')::va
 
 _ITER = "case when lower(trim(iter)) = 'baseline' then 0 else try_cast(nullif(regexp_extract(lower(trim(iter)), '^iter(\\d{1,9})$', 1), '') as int) end"
 
-P4_REPORT = f"""
+_CASCADE = f"""
 with recursive direct as ({P4}),
 states as (select state_id, run_id, {_ITER} n, updated_at tm from deft_iterations where run_id is not null),
 g as (select distinct s.run_id, s.n, 0 depth from states s join direct d on d.src_table = 'deft_iterations' and d.row_key = s.state_id where s.n is not null
@@ -107,12 +115,14 @@ o as (select run_id, n, min(depth) + 1 depth from g group by all),
 inherited as (select 'deft_iterations' src_table, s.state_id row_key, strftime(s.tm, '%Y-%m') ref_month, o.depth from states s join o on o.run_id = s.run_id and o.n = s.n - 1
   union all select 'loop_log', l.log_id, strftime(l.ts, '%Y-%m'), o.depth from (select *, {_ITER} n from loop_log) l join o on o.run_id = l.run_id and o.n = l.n),
 every as (select src_table, row_key, ref_month, 'direct' orphan_kind, orphan_reason, 0 depth from direct
-  union all select src_table, row_key, ref_month, 'inherited', null, depth from inherited i where not exists (select 1 from direct d where d.src_table = i.src_table and d.row_key = i.row_key))
+  union all select src_table, row_key, ref_month, 'inherited', null, depth from inherited i where not exists (select 1 from direct d where d.src_table = i.src_table and d.row_key = i.row_key))"""
+P4_REPORT = f"""{_CASCADE}
 select src_table, ref_month, orphan_kind, orphan_reason, count(*) orphans, max(depth) deepest from every group by all"""
+P4_INHERITED = f"{_CASCADE} select src_table, row_key, ref_month, depth from every where orphan_kind = 'inherited'"
 
 _UNQUOTED = "case when starts_with(f[{i}], chr(34)) then replace(f[{i}][2:-2], chr(34) || chr(34), chr(34)) else f[{i}] end"
 P6_ROWS = P6[: P6.index("named as (")].rstrip().rstrip(",") + f"""
 select line_id, {_UNQUOTED.format(i=1)} input_path, {_UNQUOTED.format(i=2)} golden_path, {_BLANKLESS.format(c=_UNQUOTED.format(i=3))} label, {_UNQUOTED.format(i=4)} object_name, {_BLANKLESS.format(c=_UNQUOTED.format(i=5))}::double score
 from inference where line_id not in (select line_id from ({P6}))"""
 
-ORACLE = {"p4_found": P4, "p4_report": P4_REPORT, "p6_found": P6, "p6_rows": P6_ROWS}
+ORACLE = {"p4_found": P4, "p4_report": P4_REPORT, "p4_inherited": P4_INHERITED, "p6_found": P6, "p6_rows": P6_ROWS}
