@@ -29,7 +29,7 @@ def path_key(col: Column, fold_case: bool = False) -> Column:
     out = F.when(p.rlike(r"//|/\.?$|/\./|^\./|^\.$"), q).otherwise(p)
     if fold_case:
         out = F.lower(out)
-    return F.when(out != "", out)
+    return F.nullif(out, F.lit(""))
 
 
 def slashes(col: Column) -> Column:

@@ -25,12 +25,12 @@ HOPS = 4
 
 def references(df: DataFrame, table: str, row_key: str, field: str, key: Column, time: str) -> DataFrame:
     """``src_table, row_key, ref_field, key, at``: the references of one field; null and blank ones are none."""
-    return df.select(F.lit(table).alias("src_table"), F.col(row_key).cast("long").alias("row_key"), F.lit(field).alias("ref_field"), key.alias("key"), F.col(time).cast("timestamp").alias("at")).where(F.col("key").isNotNull() & (F.col("key") != ""))
+    return df.select(F.lit(table).alias("src_table"), F.col(row_key).cast("long").alias("row_key"), F.lit(field).alias("ref_field"), F.nullif(key, F.lit("")).alias("key"), F.col(time).cast("timestamp").alias("at")).where("key is not null")
 
 
 def lives(df: DataFrame, key: Column, start: str, end: str) -> DataFrame:
     """``key, start, end`` of target rows; an end of null is open, a start of null never comes."""
-    return df.select(key.alias("key"), F.col(start).cast("timestamp").alias("start"), F.col(end).cast("timestamp").alias("end")).where(F.col("key").isNotNull() & (F.col("key") != ""))
+    return df.select(F.nullif(key, F.lit("")).alias("key"), F.col(start).cast("timestamp").alias("start"), F.col(end).cast("timestamp").alias("end")).where("key is not null")
 
 
 def check_references(refs: DataFrame, targets: DataFrame) -> DataFrame:
@@ -59,7 +59,8 @@ def check_references(refs: DataFrame, targets: DataFrame) -> DataFrame:
     lived = lived.groupBy("k1", "k2", "t").agg(*(F.sum(c).alias(c) for c in ("there", "started", "exists")))
     zero = [F.lit(0).cast("long").alias(c) for c in ("there", "started", "exists")]
     asked = refs.select(*hashed, F.coalesce(us(F.col("at")), F.lit(_FIRST + 1)).alias("t"), *zero, F.struct("src_table", "row_key", "ref_field", "key", "at").alias("ref"))
-    both = lived.withColumn("ref", F.lit(None).cast(asked.schema["ref"].dataType)).unionByName(asked)
+    # written before it's ranged, as the ranges are found by a look at all rows: paths are read once
+    both = materialize(lived.withColumn("ref", F.lit(None).cast(asked.schema["ref"].dataType)).unionByName(asked))
     # at one time the targets' events come before the references
     ordered = prefix_sums(both, ["k1", "k2", "t", F.col("ref").isNotNull(), "ref.src_table", "ref.row_key", "ref.ref_field"], {f"sum_{c}": F.col(c) for c in ("there", "started", "exists")})
     reason = F.when(F.col("sum_there") > 0, F.lit(None)).when(F.col("sum_started") > 0, "deleted").when(F.col("sum_exists") > 0, "late").otherwise("missing")
@@ -94,8 +95,8 @@ def cascade(orphans: DataFrame, records: DataFrame) -> DataFrame:
 
 def direct_orphans(iterations: DataFrame, log: DataFrame, artifacts: DataFrame, stages: DataFrame) -> DataFrame:
     """``src_table, row_key, ref_field, orphan_reason, ref_month`` of the references of the run tables that don't hold: where the cascade starts."""
-    stage = lambda c: F.lower(strip_blank(F.col(c)))
-    into = lambda kind, k: F.when(k != "", F.concat(F.lit(kind + ":"), k))  # noqa: E731  # both targets in one order
+    stage = lambda c: F.nullif(F.lower(strip_blank(F.col(c))), F.lit(""))
+    into = lambda kind, k: F.concat(F.lit(kind + ":"), k)  # noqa: E731  # both targets in one order; null stays null
     refs = references(log, "loop_log", "log_id", "stage", into("stage", stage("stage")), "ts")
     for f in ("best_ckpt_path", "inference_csv"):
         refs = refs.unionByName(references(iterations, "deft_iterations", "state_id", f, into("file", path_key(F.col(f))), "updated_at"))
