@@ -219,7 +219,7 @@ class SegmentHistory:
             self._open(rows)
         tokens = rows.where("set_id is not null").select(F.col("set_id").alias("id"), "tokens")
         slim = rows.select("id", "batch", "path", "set_id")
-        exact = [slim.where(f"{c} is not null").select(_exact_key(c, size).alias("key"), F.col(c).alias("id"), F.lit(size).alias("size"), F.lit(0).alias("place"), F.lit(0).cast("long").alias("sketch"), F.lit(True).alias("lead")).distinct() for c, size in (("set_id", WHOLE), ("path", PATH))]
+        exact = [slim.where(f"{c} is not null").select(_exact_key(c, size).alias("key"), F.col(c).alias("id"), F.lit(0).cast("long").alias("sketch"), F.lit(size * (1 << 32) | 1).cast("long").alias("form")).distinct() for c, size in (("set_id", WHOLE), ("path", PATH))]
         mine = materialize(simjoin.segments(tokens, "tokens", 1, self.t, self.order, self.hot).union(exact[0]).union(exact[1]))
         sets = materialize(tokens.dropDuplicates(["id"]))
         first = not self._batches()
@@ -230,7 +230,7 @@ class SegmentHistory:
                 state = state.join(dead.where(F.col("size") == size).select(F.col("id").alias(col), F.lit(True).alias(f"dead_{col}")), col, "left")
             state = materialize(state.select("id", "batch", "path", "set_id", F.coalesce("dead_path", "dead_set_id", F.lit(False)).alias("dead")))
         fresh = state.where("not dead").drop("dead")
-        met = materialize(simjoin.candidates(mine.where("size > 0"), self.t))
+        met = materialize(simjoin.candidates(mine.where(simjoin.form(F.col("form"))["size"] > 0), self.t))
         few = _named(sets, met.select(F.explode(F.array("id_a", "id_b")).alias("id")).distinct())
         links = materialize(_links(simjoin.verified(simjoin.with_tokens(met, few), self.t)))
         inner = resolve(fresh, links)
@@ -240,7 +240,7 @@ class SegmentHistory:
         lost = [judged.where(f"{c} is not null").groupBy(F.col(c).alias("id")).agg(F.every("gone").alias("gone")).where("gone").select("id", F.lit(size).alias("kind")) for c, size in (("set_id", WHOLE), ("path", PATH))]
         lost = materialize(lost[0].union(lost[1]))
         last = max((b for _, b in self._batches()), default=-1)
-        kind = F.when(F.col("size") == PATH, PATH).otherwise(WHOLE)
+        kind = F.when(simjoin.form(F.col("form"))["size"] == PATH, PATH).otherwise(WHOLE)
         kept = mine.withColumn("kind", kind).join(lost, ["id", "kind"], "left_anti").select(*mine.columns)
         self._append({"segments": kept, "sets": sets.join(lost.where(F.col("kind") == WHOLE), "id", "left_anti")}, (last + 1, last + 1))
         release(mine)
@@ -253,11 +253,11 @@ class SegmentHistory:
         """``id, size`` of the batch's sets (WHOLE) and paths (PATH) that repeat a stored one."""
         asked = mine.select(F.col("key").alias("probe"), *(F.col(c).alias(c + "_a") for c in mine.columns if c != "key"))
         found = self._meet(asked, "segments", "key")
-        smaller = F.col("lead_a") & (F.col("size_a") <= F.col("size")) | F.col("lead") & (F.col("size") <= F.col("size_a"))
-        a, b = ({c: F.col(c + end) for c in ("size", "place", "sketch")} for end in ("_a", ""))
-        near = (F.col("size_a") > 0) & (F.col("size") > 0) & (F.col("id_a") != F.col("id")) & smaller & simjoin.met(a, b, self.t)
-        same = (F.col("size_a") <= 0) & (F.col("size_a") == F.col("size"))
-        met = materialize(found.where(same | near).select("id_a", F.col("id").alias("id_b"), F.least("size_a", F.lit(1)).alias("kind")).distinct())
+        a, b = (simjoin.form(F.col("form" + end)) | {"sketch": F.col("sketch" + end)} for end in ("_a", ""))
+        smaller = a["lead"] & (a["size"] <= b["size"]) | b["lead"] & (b["size"] <= a["size"])
+        near = (a["size"] > 0) & (b["size"] > 0) & (F.col("id_a") != F.col("id")) & smaller & simjoin.met(a, b, self.t)
+        same = (a["size"] <= 0) & (a["size"] == b["size"])
+        met = materialize(found.where(same | near).select("id_a", F.col("id").alias("id_b"), F.least(a["size"], F.lit(1)).cast("int").alias("kind")).distinct())
         pairs = met.where("kind > 0").select("id_a", "id_b")
         others = self._meet(pairs.select(F.col("id_b").alias("probe")).distinct(), "sets", "id").select("id", "tokens")
         few = _named(sets, pairs.select(F.col("id_a").alias("id")).distinct())
@@ -297,5 +297,11 @@ def offered_rows(df: DataFrame, id_col: str = "row_id", batch_col: str = "batch_
         runs[-1].append(no)
         run += n
     no = F.col("batch_no")
-    cases = [index.offer(batches.where(reduce(Column.__or__, (no.eqNullSafe(x) for x in run))), id_col, batch_col, path_col, text_col, True) for run in runs]
+    cases = []
+    for run in runs:
+        batch = batches.where(reduce(Column.__or__, (no.eqNullSafe(x) for x in run)))
+        cases.append(index.offer(batch, id_col, batch_col, path_col, text_col, True))
+        for x in run:  # nothing reads a batch again once it has been offered
+            folder, fs = index._fs("..", "prepared", f"batch_no={'__HIVE_DEFAULT_PARTITION__' if x is None else x}")
+            fs.delete(folder, True)
     return reduce(DataFrame.union, cases, spark.createDataFrame([], "id long, batch long"))

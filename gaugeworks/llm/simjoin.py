@@ -46,7 +46,7 @@ BLOCK = 1 << 16
 FILTER_BITS = 28
 SEEN = 1 << 20
 EPS = 1e-9
-SEGMENTS = "key long, id long, size int, place int, sketch long, lead boolean"
+SEGMENTS = "key long, id long, sketch long, form long"
 
 
 @dataclass(frozen=True)
@@ -171,7 +171,7 @@ def _segments(h: np.ndarray, r: np.ndarray, n_rows: int, order: Order, t: float,
 
 
 def segments(df: DataFrame, text: str, shingle: int, t: float, order: Order, limit: int | None = None) -> DataFrame:
-    """``key, id, size, place, sketch, lead``: the stored segments of each distinct set of a column of texts or packed tokens.
+    """``key, id, sketch, form``: the stored segments of each distinct set of a column of texts or packed tokens; see :func:`form`.
 
     Only segments made with the same ``t``, ``order`` and ``limit`` (HOT) meet."""
     limit = HOT if limit is None else limit
@@ -192,8 +192,8 @@ def segments(df: DataFrame, text: str, shingle: int, t: float, order: Order, lim
             sketch[r[first]] = np.bitwise_xor.reduceat(np.uint64(1) << (h & np.uint64(63)), first)
             keys, rows, lead, place = _cut(h, r, n, shared.value, t, limit)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.view(np.int64)), pa.array(ids[rows].view(np.int64)), pa.array(sizes[rows].astype(np.int32)), pa.array(place.astype(np.int32)), pa.array(sketch[rows].view(np.int64)), pa.array(lead)],
-                names=["key", "id", "size", "place", "sketch", "lead"],
+                [pa.array(keys.view(np.int64)), pa.array(ids[rows].view(np.int64)), pa.array(sketch[rows].view(np.int64)), pa.array((sizes[rows] << 32) | (place << 1) | lead)],
+                names=["key", "id", "sketch", "form"],
             )
 
     return df.select(text).mapInArrow(emit, SEGMENTS)
@@ -211,8 +211,13 @@ def _fresh(ids: np.ndarray, seen: set) -> np.ndarray:
     return out
 
 
-def met(a: Column, b: Column, t: float) -> Column:
-    """Whether segments (structs of ``size, place, sketch``) that share a key stand at allowed lengths and positions with sketches near enough."""
+def form(packed_form: Column) -> dict[str, Column]:
+    """``size, place, lead`` of a segment, which is stored as one number to keep its rows short: length and position of 32 and 31 bits, then the flag."""
+    return {"size": F.shiftright(packed_form, 32), "place": F.shiftright(packed_form, 1).bitwiseAND(F.lit((1 << 31) - 1)), "lead": packed_form.bitwiseAND(F.lit(1)) == 1}
+
+
+def met(a: dict[str, Column], b: dict[str, Column], t: float) -> Column:
+    """Whether segments (``size, place, sketch``) that share a key stand at allowed lengths and positions with sketches near enough."""
     total = a["size"] + b["size"]
     overlap = overlap_needed(t, a["size"], b["size"])
     fits = F.least(a["size"] - a["place"], b["size"] - b["place"]) >= overlap
@@ -252,17 +257,16 @@ def candidates(stored: DataFrame, t: float, other: DataFrame | None = None) -> D
     set the leading segments are enough."""
 
     def once(x: DataFrame, end: str) -> DataFrame:
-        first = [F.first(c).alias(c + end) for c in ("size", "place", "sketch")]
-        return x.repartition("key").groupBy("key", F.col("id").alias("id" + end)).agg(*first, F.max("lead").alias("lead" + end))
+        return x.repartition("key").groupBy("key", F.col("id").alias("id" + end)).agg(F.first("sketch").alias("sketch" + end), F.max("form").alias("form" + end))
 
     a, b = once(stored, "_a"), once(stored if other is None else other, "_b")
-    smaller = F.col("lead_a") & (F.col("size_a") <= F.col("size_b"))
+    x, y = (form(F.col("form" + end)) | {"sketch": F.col("sketch" + end)} for end in ("_a", "_b"))
+    smaller = x["lead"] & (x["size"] <= y["size"])
     if other is None:
-        a, b = a.where("lead_a"), b.where("lead_b is not null")  # both sides read the same columns, so they share one exchange
+        a, b = a.where(x["lead"]), b.where("form_b is not null")  # both sides read the same columns, so they share one exchange
     else:
-        smaller = smaller | F.col("lead_b") & (F.col("size_b") <= F.col("size_a"))
-    side = lambda end: {c: F.col(c + end) for c in ("size", "place", "sketch")}
-    pairs = a.join(b, "key").where((F.col("id_a") != F.col("id_b")) & smaller & met(side("_a"), side("_b"), t))
+        smaller = smaller | y["lead"] & (y["size"] <= x["size"])
+    pairs = a.join(b, "key").where((F.col("id_a") != F.col("id_b")) & smaller & met(x, y, t))
     if other is None:
         pairs = pairs.select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"))
     return pairs.select("id_a", "id_b").distinct()
