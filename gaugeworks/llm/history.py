@@ -103,8 +103,8 @@ class SegmentHistory:
     """Accepted rows as append-only tables in a shared folder.
 
     ``batches/<first>-<last>`` holds what those offers appended: ``segments`` (those of
-    each set, the set as a whole, and the paths) and ``sets`` (the tokens of each set),
-    both split by key into the same number of parts. A batch is written aside and becomes visible by one
+    each set, the set as a whole, and the paths) and ``sets`` (the tokens of each set; a set that
+    several tasks met stands there several times), both split by key into the same number of parts. A batch is written aside and becomes visible by one
     rename, whole or not at all; after MERGE batches they are merged into one.
 
     What a batch probes goes to the executors that hold the parts it falls into: the
@@ -221,7 +221,7 @@ class SegmentHistory:
         slim = rows.select("id", "batch", "path", "set_id")
         exact = [slim.where(f"{c} is not null").select(_exact_key(c, size).alias("key"), F.col(c).alias("id"), F.lit(0).cast("long").alias("sketch"), F.lit(size * (1 << 32) | 1).cast("long").alias("form")).distinct() for c, size in (("set_id", WHOLE), ("path", PATH))]
         mine = materialize(simjoin.segments(tokens, "tokens", 1, self.t, self.order, self.hot).union(exact[0]).union(exact[1]))
-        sets = materialize(tokens.dropDuplicates(["id"]))
+        sets = simjoin.once_a_task(tokens)
         first = not self._batches()
         state = slim.withColumn("dead", F.lit(False))
         if not first:
@@ -244,7 +244,6 @@ class SegmentHistory:
         kept = mine.withColumn("kind", kind).join(lost, ["id", "kind"], "left_anti").select(*mine.columns)
         self._append({"segments": kept, "sets": sets.join(lost.where(F.col("kind") == WHOLE), "id", "left_anti")}, (last + 1, last + 1))
         release(mine)
-        release(sets)
         if len(self._batches()) >= MERGE:
             self.merge()
         return judged.where("gone").select("id", "batch")
@@ -259,16 +258,16 @@ class SegmentHistory:
         same = (a["size"] <= 0) & (a["size"] == b["size"])
         met = materialize(found.where(same | near).select("id_a", F.col("id").alias("id_b"), F.least(a["size"], F.lit(1)).cast("int").alias("kind")).distinct())
         pairs = met.where("kind > 0").select("id_a", "id_b")
-        others = self._meet(pairs.select(F.col("id_b").alias("probe")).distinct(), "sets", "id").select("id", "tokens")
+        others = self._meet(pairs.select(F.col("id_b").alias("probe")).distinct(), "sets", "id").select("id", "tokens").dropDuplicates(["id"])
         few = _named(sets, pairs.select(F.col("id_a").alias("id")).distinct())
         alike = simjoin.verified(simjoin.with_tokens(pairs, few, others), self.t)
         return materialize(met.where("kind <= 0").select(F.col("id_a").alias("id"), F.col("kind").alias("size")).union(alike.select("id_a", F.lit(WHOLE))).distinct())
 
 
 def _named(sets: DataFrame, ids: DataFrame) -> DataFrame:
-    """The ``sets`` named in ``ids``, whose number is checked before they are broadcast."""
+    """The ``sets`` named in ``ids``, whose number is checked before they are broadcast, each once."""
     ids = materialize(ids)
-    return materialize(sets.join(F.broadcast(ids) if ids.count() <= PROBES else ids, "id", "left_semi"))
+    return materialize(sets.join(F.broadcast(ids) if ids.count() <= PROBES else ids, "id", "left_semi").dropDuplicates(["id"]))
 
 
 def _exact_key(col: str, kind: int) -> Column:

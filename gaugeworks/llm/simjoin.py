@@ -216,6 +216,17 @@ def form(packed_form: Column) -> dict[str, Column]:
     return {"size": F.shiftright(packed_form, 32), "place": F.shiftright(packed_form, 1).bitwiseAND(F.lit((1 << 31) - 1)), "lead": packed_form.bitwiseAND(F.lit(1)) == 1}
 
 
+def once_a_task(sets: DataFrame) -> DataFrame:
+    """``id, tokens`` without the repeats that one task sees; a set may still come from several tasks."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set = set()
+        for b in batches:
+            yield b.filter(pa.array(_fresh(np.asarray(b.column(0)), seen)))
+
+    return sets.select("id", "tokens").mapInArrow(emit, "id long, tokens binary")
+
+
 def met(a: dict[str, Column], b: dict[str, Column], t: float) -> Column:
     """Whether segments (``size, place, sketch``) that share a key stand at allowed lengths and positions with sketches near enough."""
     total = a["size"] + b["size"]
