@@ -147,7 +147,7 @@ def _(t):
     return with_rounded(th.histogram(scored(t)), "edge")
 
 
-@add("agg_histogram_one_value", "select 0 bin, count(*) filter (o_orderstatus = 'O') n_pass, count(*) filter (o_orderstatus <> 'O') n_defect, 6.65 edge from orders")
+@add("agg_histogram_one_value", "select 0 bin, count(*) filter (o_orderstatus = 'O') n_pass, count(*) filter (o_orderstatus <> 'O') n_defect, 6.65::double edge from orders")
 def _(t):
     """Scores that differ by less than a billionth share one bin."""
     score = 7 + F.col("o_orderkey") % 2 * 1e-10

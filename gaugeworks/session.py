@@ -60,6 +60,7 @@ def materialize(df: DataFrame) -> DataFrame:
     Cuts the lineage, survives the loss of any executor, and makes results of
     Python stages that are used twice come out the same both times."""
     spark = df.sparkSession
+    ship(spark)
     path = f"{shared_dir(spark)}/gaugeworks/{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
