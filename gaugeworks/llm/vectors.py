@@ -11,10 +11,16 @@ distance of a code of CHECK_BITS bits and reranked by the cosine of the floats.
 L follows from the substring length and the recall wanted for a pair just at the
 cosine floor; pairs above it are found more surely. Every vector is indexed.
 
+The index is never shuffled or stored: it would have L rows a vector. Vectors lie in flat
+files that tasks map into memory; a task sorts the codes of one block of sources under a few
+substrings, holds all targets against them, and returns the k best of each target. A block
+has at most BLOCK vectors, so a task's memory doesn't follow the table, and more
+sources make more tasks.
+
 A vector counts if it has DIM finite numbers and isn't all zero; others give no row.
 Vectors of the same direction are one class, indexed once; its k smallest ids stand
-for it, which is all a top-k with ties broken by smaller id can use. Hot substrings
-(dense regions) make skewed join partitions, which adaptive execution splits."""
+for it, which is all a top-k with ties broken by smaller id can use. Candidates of hot
+substrings (dense regions) are compared STEP at a time."""
 
 from __future__ import annotations
 
@@ -24,15 +30,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gaugeworks.session import materialize
+from gaugeworks.llm import vectorfiles
+from gaugeworks.session import delete, materialize, release, shared_folder
 
 DIM = 64
 SAMPLE = 20_000
 RECALL_AT_FLOOR = 0.97
-CHECK_BITS = 128
+CHECK_BITS = 256
+#: Vectors of a block of sources; substrings that a task looks up; targets encoded at once; candidates compared at once.
+BLOCK, GROUP, CHUNK, STEP = 2_000_000, 12, 1 << 17, 1 << 19
 
 
 def unit_rows(column: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
@@ -80,84 +90,200 @@ def hamming_bound(floor: float, bits: int) -> int:
     return math.ceil(bits * p + 4 * math.sqrt(bits * p * (1 - p)))
 
 
+def to_units(x: np.ndarray) -> np.ndarray:
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def sign_words(x: np.ndarray, matrix: np.ndarray, bits: int, width: int) -> np.ndarray:
+    """Words of ``width`` bits, each with the next ``bits`` signs of ``x @ matrix``: an array of 32- or 64-bit integers, a row for each vector."""
+    n, words = len(x), matrix.shape[1] // bits
+    signs = np.zeros((n, words, width), bool)
+    np.greater_equal((x @ matrix).reshape(n, words, bits), 0, out=signs[:, :, :bits])
+    return np.packbits(signs.reshape(n, -1), axis=1, bitorder="little").view(f"<u{width // 8}")
+
+
+def candidates(starts: np.ndarray, order: np.ndarray, codes: np.ndarray, step: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (place in ``codes``, source) of the same code, at most ``step`` at a time; ``starts`` says where a code's sources begin in ``order``."""
+    begin = starts[codes]
+    ends = np.cumsum(starts[codes + 1] - begin)
+    lead = begin - np.concatenate([[0], ends[:-1]])  # of a target: from the count of pairs to the place in order
+    for lo in range(0, int(ends[-1]) if len(ends) else 0, step):
+        hi = min(lo + step, int(ends[-1]))
+        first, last = np.searchsorted(ends, lo, "right"), np.searchsorted(ends, hi - 1, "right") + 1
+        bounds = np.clip(np.concatenate([[lo], ends[first:last]]), lo, hi)
+        t = np.repeat(np.arange(first, last), np.diff(bounds))
+        yield t, order[np.arange(lo, hi) + lead[t]]
+
+
+def k_best(t: np.ndarray, s: np.ndarray, cosine: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Which pairs are among the first k of their target by cosine, then by the source's id."""
+    order = np.lexsort((ids, -np.round(cosine, 9), t))
+    first = np.flatnonzero(np.concatenate([[True], t[order][1:] != t[order][:-1]])) if len(t) else np.empty(0, np.int64)
+    place = np.arange(len(t)) - np.repeat(first, np.diff(np.append(first, len(t))))
+    return order[place < k]
+
+
+class Block:
+    """Positions, ids and check codes of a block's vectors, mapped."""
+
+    def __init__(self, folder: str, name: str):
+        self.pos, self.ids, *check = vectorfiles.mapped(folder, name, np.int64).reshape(2 + CHECK_BITS // 64, -1)
+        self.check = [c.view(np.uint64) for c in check]  # bits of signed numbers are counted without the sign
+
+
+def matches(store: vectorfiles.Vectors, block: Block, targets: list[Block], matrix: np.ndarray, bits: int, k: int, floor: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Positions and cosine of the pairs that meet in a substring of ``matrix``, of each target the k best in this block."""
+    n, words = len(block.pos), matrix.shape[1] // bits
+    bounds = [hamming_bound(floor, 64 * (i + 1)) for i in range(CHECK_BITS // 64)]
+    codes = np.empty((words, n), np.uint32)
+    for lo in range(0, n, CHUNK // 8):
+        codes[:, lo : lo + CHUNK // 8] = sign_words(store.take(block.pos[lo : lo + CHUNK // 8], np.float32), matrix, bits, 32).T
+    index = []
+    for c in codes:
+        keyed = np.sort((c.astype(np.uint64) << 32) | np.arange(n, dtype=np.uint64))
+        c[:] = keyed & 0xFFFFFFFF
+        index.append((np.concatenate([[0], np.cumsum(np.bincount((keyed >> 32).astype(np.int64), minlength=1 << bits))]).astype(np.int32), c))
+    del keyed
+
+    for side in targets:
+        for at in range(0, len(side.pos), CHUNK):
+            pos = np.asarray(side.pos[at : at + CHUNK])
+            check = [np.asarray(c[at : at + CHUNK]) for c in side.check]
+            own = np.concatenate([sign_words(store.take(pos[lo : lo + CHUNK // 8], np.float32), matrix, bits, 32) for lo in range(0, len(pos), CHUNK // 8)])
+            best = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
+            held: list[np.ndarray] = []
+
+            def flush(best=best):
+                met = np.unique(np.concatenate(held)) if held else np.empty(0, np.int64)
+                held.clear()
+                parts = [best]
+                for lo in range(0, len(met), CHUNK // 4):
+                    t, s = met[lo : lo + CHUNK // 4] >> 32, met[lo : lo + CHUNK // 4] & 0xFFFFFFFF
+                    cosine = np.einsum("ij,ij->i", to_units(store.take(pos[t])), to_units(store.take(block.pos[s])))
+                    near = cosine >= floor - 1e-9
+                    parts.append((t[near], s[near], cosine[near]))
+                t, s, cosine = (np.concatenate(x) for x in zip(*parts))
+                _, once = np.unique(t << 32 | s, return_index=True)
+                t, s, cosine = t[once], s[once], cosine[once]
+                keep = k_best(t, s, cosine, block.ids[s], k)
+                return t[keep], s[keep], cosine[keep]
+
+            for (starts, order), c in zip(index, own.T):
+                by_code = np.argsort(c)  # neighbours in code are neighbours in the index
+                for t, s in candidates(starts, order, c[by_code].astype(np.int64), STEP):
+                    t, far = by_code[t], np.zeros(len(t), np.int16)
+                    for x, y, bound in zip(check, block.check, bounds):  # most fall at the first word
+                        far = far + np.bitwise_count(x[t] ^ y[s])
+                        close = far <= bound
+                        t, s, far = t[close], s[close], far[close]
+                    held.append(t << 32 | s.astype(np.int64))
+                    if sum(map(len, held)) > 4 * STEP:
+                        best = flush(best)
+            t, s, cosine = flush(best)
+            yield pos[t], np.asarray(block.pos[s]), cosine
+
+
 def most_similar(df: DataFrame, id_col: str, is_target, vector_col: str, k: int = 5, floor: float = 0.9, dim: int = DIM) -> DataFrame:
     """``target, source, cosine``: the k most similar sources of each target with a cosine of at least ``floor``; ties to the smaller id.
 
     ``is_target`` is a boolean column; rows where it's null take no part."""
     spark = df.sparkSession
-    rows = df.select(F.col(id_col).cast("long").alias("id"), is_target.alias("target"), F.col(vector_col).alias("v")).where("target is not null")
+    rows = df.select(F.col(id_col).cast("long").alias("id"), is_target.alias("target"), F.col(vector_col).alias("v")).where("target is not null and id is not null")
+    folder = shared_folder(spark)
 
-    kind = np.float32 if df.schema[vector_col].dataType.elementType.typeName() == "float" else np.float64
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Store the vectors that count; what goes on is their ids, sides, classes and positions."""
+        number, held, n = TaskContext.get().taskAttemptId() << 24, [], 0
 
-    def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            x, at = unit_rows(b.column(2), dim)
-            take = pa.array(at)
-            way = np.ascontiguousarray(np.round(x, 9) + 0.0)  # + 0.0: no minus zero
-            names = [hashlib.blake2b(r.tobytes(), digest_size=16).digest() for r in way]
-            raw = np.asarray(b.column(2).take(take).flatten()).astype(kind).reshape(-1, dim)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(names, pa.binary()), pa.array([r.tobytes() for r in raw], pa.binary())], names=["id", "target", "class", "raw"])
+        def stored() -> pa.RecordBatch:
+            pos = vectorfiles.write_vectors(folder, number, np.concatenate([h[3] for h in held]))
+            return pa.RecordBatch.from_arrays([*(pa.concat_arrays([h[i] for h in held]) for i in range(3)), pa.array(pos)], names=["id", "target", "class", "pos"])
 
-    unit = materialize(rows.mapInArrow(classify, "id long, target boolean, class binary, raw binary"))
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 1 << 14):
+                b = whole.slice(lo, 1 << 14)
+                x, at = unit_rows(b.column(2), dim)
+                if not len(at):
+                    continue
+                take = pa.array(at)
+                way = np.ascontiguousarray(np.round(x, 9) + 0.0)  # + 0.0: no minus zero
+                names = [hashlib.blake2b(r, digest_size=16).digest() for r in way]
+                raw = np.asarray(b.column(2).take(take).flatten()).astype(np.float64).reshape(-1, dim)
+                raw = np.ldexp(raw, -np.frexp(np.abs(raw).max(axis=1, keepdims=True))[1])  # by a power of two: the direction stays exact
+                held.append((b.column(0).take(take), b.column(1).take(take), pa.array(names, pa.binary()), raw.astype(kind)))
+                n += len(at)
+                if n > (1 << vectorfiles.ROW_BITS) - (1 << 14):
+                    yield stored()
+                    number, held, n = number + 1, [], 0
+        if held:
+            yield stored()
 
-    def units(column: pa.Array) -> np.ndarray:
-        x = np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, dim).astype(np.float64)
-        x = x / np.abs(x).max(axis=1, keepdims=True)
-        return x / np.linalg.norm(x, axis=1, keepdims=True)
+    kind = np.float32 if df.schema[vector_col].dataType.elementType.typeName() == "float" else np.float64
+    unit = materialize(rows.mapInArrow(keep, "id long, target boolean, class binary, pos long"))
 
-    counts = {r["target"]: r["n"] for r in unit.groupBy("target").agg(F.count("*").alias("n")).collect()}
+    # of each class and side the k smallest ids; the first stands for the class
+    order = Window.partitionBy("target", "class").orderBy("id", "pos")
+    ranked = materialize(unit.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k).where("not target or n = 1"))
+    reps = ranked.where("n = 1")
+    counts = {r["target"]: r["n"] for r in reps.groupBy("target").agg(F.count("*").alias("n")).collect()}
     if not counts.get(True) or not counts.get(False):
         return spark.createDataFrame([], "target long, source long, cosine double")
+    n_blocks = {side: math.ceil(n / BLOCK) for side, n in counts.items()}
     bits, n_sub = plan_substrings(counts[False], floor)
-    share = min(1.0, 1.2 * SAMPLE / (counts[True] + counts[False]))
-    sample = units(pa.array([bytes(r[0]) for r in unit.select("raw").sample(share, 11).limit(SAMPLE).collect()] or [np.ones(dim, kind).tobytes()]))
-    matrix = learn_rotations(sample, bits * n_sub)
-    check_matrix = learn_rotations(sample, CHECK_BITS, seed=23)
-    shared = spark.sparkContext.broadcast((matrix, check_matrix))
-    weight = 1 << np.arange(bits, dtype=np.int64)
-
-    # of each class and side the k smallest ids; the first stands for the class
-    order = Window.partitionBy("target", "class").orderBy("id")
-    ranked = materialize(unit.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k))
-    members = ranked.where("not target").select("class", "id")
-    reps = ranked.where("n = 1").select("target", F.col("id").alias("rep"), "class", "raw")
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matrix, check_matrix = shared.value
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store = vectorfiles.Vectors(folder, dim)
         for b in batches:
-            if not b.num_rows:
-                continue
-            x = units(b.column(2))
-            code = (x @ matrix >= 0).reshape(len(x), n_sub, bits) @ weight
-            keys = code + (np.arange(n_sub, dtype=np.int64) << 32)
-            check = np.packbits(x @ check_matrix >= 0, axis=1).view(np.int64)
-            offsets = pa.array(np.arange(len(x) + 1, dtype=np.int32) * n_sub)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(c) for c in check.T), pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()))], names=["target", "rep", "check1", "check2", "keys"])
-
-    codes = reps.select("target", "rep", "raw").mapInArrow(encode, "target boolean, rep long, check1 long, check2 long, keys array<long>")
-    index = codes.select("target", "rep", "check1", "check2", F.explode("keys").alias("key"))
-    probe = index.where("target").select("key", F.col("rep").alias("t"), F.col("check1").alias("t1"), F.col("check2").alias("t2"))
-    stored = index.where("not target").select("key", F.col("rep").alias("s"), F.col("check1").alias("s1"), F.col("check2").alias("s2"))
-    close = F.bit_count(F.col("t1").bitwiseXOR(F.col("s1"))) + F.bit_count(F.col("t2").bitwiseXOR(F.col("s2"))) <= hamming_bound(floor, CHECK_BITS)
-    met = probe.join(stored, "key").where(close).select("t", "s").distinct()
-
-    t_side = reps.where("target").select(F.col("rep").alias("t"), F.col("raw").alias("t_raw"), F.col("class").alias("t_class"))
-    s_side = reps.where("not target").select(F.col("rep").alias("s"), F.col("raw").alias("s_raw"), F.col("class").alias("s_class"))
-    both = met.join(t_side, "t").join(s_side, "s").select("t_class", "s_class", "t_raw", "s_raw")
-    scored_type = "t_class binary, s_class binary, cosine double"
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in store.take(np.asarray(b.column(0)))], pa.binary())], names=["raw"])
+
+    share = min(1.0, 1.2 * SAMPLE / unit.count())
+    sample = [bytes(r[0]) for r in unit.select("pos").sample(share, 11).limit(SAMPLE).mapInArrow(read, "raw binary").collect()]
+    x = to_units(np.frombuffer(b"".join(sample), np.float64).reshape(-1, dim)) if sample else np.ones((1, dim)) / math.sqrt(dim)
+    matrix = learn_rotations(x, bits * n_sub).astype(np.float32)
+    shared = spark.sparkContext.broadcast((matrix, learn_rotations(x, CHECK_BITS, seed=23).astype(np.float32)))
+
+    def lay(side: str):
+        def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            """Store a partition as one block."""
+            got = [(np.asarray(b.column(0)), np.asarray(b.column(1))) for b in batches if b.num_rows]
+            if not got:
+                return
+            pos, ids = (np.concatenate(x) for x in zip(*got))
+            del got
+            by_place = np.argsort(pos)
+            pos, ids = pos[by_place], ids[by_place]
+            store, check_matrix = vectorfiles.Vectors(folder, dim), shared.value[1]
+            check = np.concatenate([sign_words(store.take(pos[lo : lo + CHUNK // 8], np.float32), check_matrix, 64, 64) for lo in range(0, len(pos), CHUNK // 8)])
+            name = f"{side}-{TaskContext.get().taskAttemptId()}"
+            vectorfiles.write(folder, name, pos, ids, *check.T)
+            yield pa.RecordBatch.from_arrays([pa.array([name])], names=["name"])
+
+        return blocks
+
+    laid = {side: sorted(r["name"] for r in reps.where(F.col("target") == side).select("pos", "id").repartitionByRange(n_blocks[side], "pos").mapInArrow(lay(f"block-{side}".lower()), "name string").collect()) for side in (True, False)}
+    groups = max(math.ceil(n_sub / GROUP), min(n_sub, 12 // len(laid[False]), math.ceil(sum(counts.values()) * n_sub / 1e6)))
+    cuts = [n_sub * i // groups for i in range(groups + 1)]
+    jobs = [(name, lo, hi) for name in laid[False] for lo, hi in zip(cuts, cuts[1:])]
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if not b.num_rows:
-                continue
-            x, y = units(b.column(2)), units(b.column(3))
-            cosine = np.einsum("ij,ij->i", x, y)
-            keep = pa.array(cosine >= floor - 1e-9)
-            yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep), pa.array(cosine).filter(keep)], names=["t_class", "s_class", "cosine"])
-
-    scored = both.mapInArrow(score, scored_type)
-    pairs = scored.join(members.select(F.col("class").alias("s_class"), F.col("id").alias("source")), "s_class")
-    best = Window.partitionBy("t_class").orderBy(F.round("cosine", 9).desc(), "source")
-    top = pairs.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k)
-    targets = unit.where("target").select(F.col("id").alias("target"), F.col("class").alias("t_class"))
-    return targets.join(top, "t_class").select("target", "source", "cosine")
+            for job in b.column(0).to_pylist():
+                name, lo, hi = jobs[job]
+                store = vectorfiles.Vectors(folder, dim)
+                own = np.ascontiguousarray(shared.value[0][:, lo * bits : hi * bits])
+                for found in matches(store, Block(folder, name), [Block(folder, x) for x in laid[True]], own, bits, k, floor):
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["t", "s", "cosine"])
+
+    met = spark.range(0, len(jobs), 1, len(jobs)).mapInArrow(match, "t long, s long, cosine double")
+    scored = met.groupBy("t", "s").agg(F.max("cosine").alias("cosine"))
+    first = Window.partitionBy("class").orderBy("n")
+    members = ranked.where("not target").select(F.first("pos").over(first).alias("s"), F.col("id").alias("source"))
+    best = Window.partitionBy("t").orderBy(F.round("cosine", 9).desc(), "source")
+    top = scored.join(members, "s").withColumn("place", F.row_number().over(best)).where(F.col("place") <= k)
+    classes = top.join(reps.where("target").select(F.col("pos").alias("t"), "class"), "t").select("class", "source", "cosine")
+    found = materialize(unit.where("target").select(F.col("id").alias("target"), "class").join(classes, "class").select("target", "source", "cosine"))
+    release(unit)
+    release(ranked)
+    delete(spark, folder)
+    return found

@@ -54,6 +54,11 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The name of a new folder in the shared one."""
+    return f"{shared_dir(spark)}/gaugeworks/{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
@@ -61,17 +66,22 @@ def materialize(df: DataFrame) -> DataFrame:
     Python stages that are used twice come out the same both times."""
     spark = df.sparkSession
     ship(spark)
-    path = f"{shared_dir(spark)}/gaugeworks/{uuid.uuid4().hex}"
+    path = shared_folder(spark)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete(spark: SparkSession, name: str) -> None:
+    """Delete a folder."""
+    path, fs = _file_system(spark, name)
+    fs.delete(path, True)
+
+
 def release(df: DataFrame) -> None:
     """Delete the table behind a frame made by :func:`materialize` once nothing reads it any more."""
     for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
         if "/gaugeworks/" in name:
-            path, fs = _file_system(df.sparkSession, name)
-            fs.delete(path, True)
+            delete(df.sparkSession, name)
 
 
 def release_all(spark: SparkSession) -> None:
